@@ -46,9 +46,8 @@ def write_documents(
     """Many small files (`path`, whole `value`) into fewer, one document per line."""
     body = F.array_join(tokens, " ") if tokens is not None else F.col("value")
     line = F.trim(F.regexp_replace(body, "[\r\n]+", " ")).alias("value")
-    files.select("path", line).repartitionByRange("path").sortWithinPartitions("path").select(
-        "value"
-    ).write.option("maxRecordsPerFile", documents_per_file).text(path)
+    # the scan already packs small files into one task, so no shuffle is needed
+    files.select(line).write.option("maxRecordsPerFile", documents_per_file).text(path)
 
 
 def write_fitted(tables: dict[str, DataFrame], path: str) -> None:
