@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..storage import materialize
+
 ROWS_PER_TASK = 4_000_000
 
 
@@ -54,6 +56,22 @@ def attach(
     return left.join(right, [*on, "_salt"], how).drop("_salt", "_splits")
 
 
+def attach_side(
+    df: DataFrame,
+    side: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """`attach` for a side table that was not counted: the hot keys of `df` are found first."""
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+    hot = materialize(counts.where(F.col("n") > rows_per_task), "hot")
+    if hot.isEmpty():
+        return df.join(side, list(on), how)
+    counted = side.join(F.broadcast(hot), list(on), "left")
+    return attach(df, counted.withColumn("n", F.coalesce("n", F.lit(0))), on, "n", how, rows_per_task)
+
+
 def order_number(df: DataFrame, name: str) -> Column:
     """The order column as a number, to cut its range into blocks."""
     kind = df.schema[name].dataType

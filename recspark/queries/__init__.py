@@ -1,0 +1,6 @@
+"""Named queries over the given tables, one or more per operator."""
+
+from .base import ORACLES, QUERIES
+from . import cleaning
+
+__all__ = ["ORACLES", "QUERIES"]
