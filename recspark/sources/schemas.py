@@ -2,45 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(" ".join(ddl.split()))
+def _columns(text: str) -> T.StructType:
+    """A schema from `name:type` entries."""
+    schema = T.StructType()
+    for entry in text.split():
+        name, kind = entry.split(":")
+        schema = schema.add(name, kind)
+    return schema
 
 
-CLICKS = _schema(
-    """uid BIGINT, user_city BIGINT, item_id BIGINT, author_id BIGINT, item_city BIGINT,
-    channel INT, finish INT, `like` INT, music_id BIGINT, device BIGINT, time BIGINT,
-    duration_time INT"""
+CLICKS = _columns(
+    "uid:long user_city:long item_id:long author_id:long item_city:long channel:integer "
+    "finish:integer like:integer music_id:long device:long time:long duration_time:integer"
 )
 
 # the writer puts genres before actors
-CLICKS_WITH_LISTS = StructType(CLICKS.fields).add("genres", "string").add("actors", "string")
+CLICKS_WITH_LISTS = T.StructType(list(CLICKS.fields)).add("genres", "string").add("actors", "string")
 
 CLICKS_WITH_HISTORY = (
-    StructType(CLICKS_WITH_LISTS.fields)
+    T.StructType(list(CLICKS_WITH_LISTS.fields))
     .add("history_item_ids", "string")
     .add("history_citys", "string")
 )
 
 # leading zeros occur in the ids, so they stay text
-SONGS = _schema(
-    """user_id STRING, sm_id STRING, timestamp BIGINT, level INT, user_lang STRING,
-    platform STRING, country STRING, gender INT, age INT, song_lang_id INT,
-    artist_gender INT, song_quality DOUBLE, song_recording_count BIGINT, song_genres STRING,
-    song_create_time BIGINT, artist_country_id INT, region STRING, is_new INT"""
+SONGS = _columns(
+    "user_id:string sm_id:string timestamp:long level:integer user_lang:string platform:string "
+    "country:string gender:integer age:integer song_lang_id:integer artist_gender:integer "
+    "song_quality:double song_recording_count:long song_genres:string song_create_time:long "
+    "artist_country_id:integer region:string is_new:integer"
 )
 
-RATINGS = _schema(
-    """user_id BIGINT, movie_id BIGINT, rating INT, timestamp BIGINT, title STRING,
-    genres STRING, gender STRING, age INT, occupation INT, zip STRING"""
+RATINGS = _columns(
+    "user_id:long movie_id:long rating:integer timestamp:long title:string genres:string "
+    "gender:string age:integer occupation:integer zip:string"
 )
 
-NEWS_CLICKS = _schema(
-    """user_id BIGINT, click_article_id BIGINT, click_timestamp BIGINT,
-    click_environment INT, click_deviceGroup INT, click_os INT, click_country INT,
-    click_region INT, click_referrer_type INT"""
+NEWS_CLICKS = _columns(
+    "user_id:long click_article_id:long click_timestamp:long click_environment:integer "
+    "click_deviceGroup:integer click_os:integer click_country:integer click_region:integer "
+    "click_referrer_type:integer"
 )
 
 # fixed values: the census column names; the file has one more, leading, column
@@ -62,13 +66,18 @@ CENSUS_CATEGORIES = (
     "country_father country_mother country_self citizenship vet_question"
 ).split()
 _CENSUS_TEXT = {*CENSUS_CATEGORIES, "marital_stat", "income_50k"}
-CENSUS = StructType().add("row_id", "bigint")
+CENSUS = T.StructType().add("row_id", "long")
 for _name in CENSUS_NAMES:
     CENSUS = CENSUS.add(_name, "string" if _name in _CENSUS_TEXT else "double")
 
-VIDEO = _schema("item_id BIGINT, video_feature_dim_128 ARRAY<FLOAT>")
-AUDIO = _schema("item_id BIGINT, audio_feature_128_dim ARRAY<FLOAT>")
-TITLE = _schema("item_id BIGINT, title_features MAP<STRING, INT>")
+_VECTOR = T.ArrayType(T.FloatType())
+VIDEO = T.StructType().add("item_id", "long").add("video_feature_dim_128", _VECTOR)
+AUDIO = T.StructType().add("item_id", "long").add("audio_feature_128_dim", _VECTOR)
+TITLE = (
+    T.StructType()
+    .add("item_id", "long")
+    .add("title_features", T.MapType(T.StringType(), T.IntegerType()))
+)
 
 # fixed values: names of the face columns after the item id
 FACE_NAMES = (
