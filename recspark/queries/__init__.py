@@ -1,6 +1,6 @@
 """Named queries over the given tables, one or more per operator."""
 
 from .base import ORACLES, QUERIES
-from . import cleaning, encoding, samples, sequences, sources
+from . import cleaning, encoding, samples, search, sequences, sources
 
 __all__ = ["ORACLES", "QUERIES"]
