@@ -17,6 +17,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import FMRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.arrays import sigmoid
 from ..functions.vectors import add
@@ -131,7 +132,7 @@ def batch_score(
     batch_size: int = 4096,
 ) -> DataFrame:
     """Attach the scores of an external model; it is loaded once per worker, fed in batches."""
-    predict = predict_batch_udf(make_predict, return_type="double", batch_size=batch_size)
+    predict = predict_batch_udf(make_predict, return_type=DoubleType(), batch_size=batch_size)
     return df.withColumn(name, predict(*inputs))
 
 

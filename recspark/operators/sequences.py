@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import pad, split_list
 from ..storage import materialize
 from .ordering import global_rank
-from .skew import ROWS_PER_TASK, attach, key_profile, running_sums
+from .skew import ROWS_PER_TASK, attach, attach_side, key_profile, running_sums
 
 OOV = "OOV"
 
@@ -60,6 +60,18 @@ def sequence_ids(
     )
 
 
+def without_listed(
+    df: DataFrame, key: Sequence[str], tokens: Column, stop: DataFrame, word: str = "word"
+) -> DataFrame:
+    """`(key.., tokens)` without the words of a long list; order and repeats stay."""
+    exploded = df.select(*key, F.posexplode_outer(tokens).alias("_pos", word))
+    listed = stop.select(word).distinct().withColumn("_listed", F.lit(True))
+    marked = attach_side(exploded, listed, [word])
+    kept = F.when(F.col("_pos").isNotNull() & F.col("_listed").isNull(), F.struct("_pos", word))
+    entries = F.array_sort(F.collect_list(kept))
+    return marked.groupBy(*key).agg(F.transform(entries, lambda e: e[word]).alias("tokens"))
+
+
 def longest(df: DataFrame, name: str) -> int:
     return df.agg(F.max(F.size(name))).first()[0] or 0
 
