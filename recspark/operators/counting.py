@@ -27,8 +27,9 @@ def attach_feature(
 ) -> DataFrame:
     """Join the fitted rows of one key column; `fitted` holds `feature`, `key` and `n`."""
     table = fitted.where(F.col("feature") == key).drop("feature")
-    keyed = df.withColumn("key", F.col(key).cast("string"))
-    return attach(keyed, table, ["key"], rows_per_task=rows_per_task).drop("key")
+    table = table.withColumnRenamed("key", "_key")
+    keyed = df.withColumn("_key", F.col(key).cast("string"))
+    return attach(keyed, table, ["_key"], rows_per_task=rows_per_task).drop("_key")
 
 
 def count_encode(

@@ -66,10 +66,12 @@ def encode(
     into = into or {}
     for name in columns:
         target = into.get(name, name)
-        values = feature_dictionary(dictionary, name)
-        keyed = df.withColumn("value", F.col(name).cast("string"))
-        joined = attach(keyed, values, ["value"], rows_per_task=rows_per_task)
-        code = F.col("code") if unknown is None else F.coalesce("code", F.lit(unknown).cast("long"))
+        values = feature_dictionary(dictionary, name).toDF("_value", "_code", "n")
+        keyed = df.withColumn("_value", F.col(name).cast("string"))
+        joined = attach(keyed, values, ["_value"], rows_per_task=rows_per_task)
+        code = F.col("_code")
+        if unknown is not None:
+            code = F.coalesce(code, F.lit(unknown).cast("long"))
         keep = [c for c in df.columns if c != target]
         joined = joined.select(*keep, code.alias(target))
         order = df.columns if target in df.columns else [*df.columns, target]
@@ -87,9 +89,11 @@ def decode(
     """Replace codes by their values; codes without one become `unknown`."""
     order = df.columns
     for name in columns:
-        values = feature_dictionary(dictionary, name).select(F.col("code").alias(name), "value", "n")
+        values = feature_dictionary(dictionary, name).select(
+            F.col("code").alias(name), F.col("value").alias("_value"), "n"
+        )
         joined = attach(df, values, [name], rows_per_task=rows_per_task)
-        df = joined.withColumn(name, F.coalesce("value", F.lit(unknown))).select(*order)
+        df = joined.withColumn(name, F.coalesce("_value", F.lit(unknown))).select(*order)
     return df
 
 

@@ -51,9 +51,10 @@ def sequence_ids(
 
     `vocabulary` is `(token, id, n)`. A common word is a hot key, so its rows are split.
     """
-    exploded = df.select(*key, F.posexplode_outer(tokens).alias("_pos", "token"))
-    joined = attach(exploded, vocabulary, ["token"], rows_per_task=rows_per_task)
-    entry = F.struct("_pos", F.coalesce("id", F.lit(unknown).cast("long")).alias("id"))
+    exploded = df.select(*key, F.posexplode_outer(tokens).alias("_pos", "_token"))
+    known = vocabulary.select(F.col("token").alias("_token"), F.col("id").alias("_id"), "n")
+    joined = attach(exploded, known, ["_token"], rows_per_task=rows_per_task)
+    entry = F.struct("_pos", F.coalesce("_id", F.lit(unknown).cast("long")).alias("id"))
     entries = F.collect_list(F.when(F.col("_pos").isNotNull(), entry))
     return joined.groupBy(*key).agg(
         F.transform(F.array_sort(entries), lambda e: e["id"]).alias(name)

@@ -108,16 +108,18 @@ def running_sums(
     """
     on, order_by = list(on), list(order_by)
     blocks = F.ceil(4 * F.col("n") / F.lit(rows_per_task)).cast("int")
-    hot = profile.where(F.col("n") > rows_per_task).select(*on, "lo", "hi", blocks.alias("_blocks"))
+    hot = profile.where(F.col("n") > rows_per_task).select(
+        *on, F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), blocks.alias("_blocks")
+    )
     earlier = Window.partitionBy(*on).orderBy(*order_by)
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     if hot.isEmpty():
         return df.select(
             "*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(k) for k, c in sums.items()]
         )
-    width = F.col("hi") - F.col("lo") + 1
+    width = F.col("_hi") - F.col("_lo") + 1
     place = order_number(df, order_by[0])
-    block = F.coalesce(F.floor((place - F.col("lo")) / width * F.col("_blocks")), F.lit(0))
+    block = F.coalesce(F.floor((place - F.col("_lo")) / width * F.col("_blocks")), F.lit(0))
     cut = df.join(F.broadcast(hot), on, "left").withColumn("_block", block.cast("int"))
     totals = (
         cut.where(F.col("_blocks").isNotNull())
