@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, result: Callable[[Column], Column]) -> Column:
+    """`result(value)` with `value` computed once.
+
+    An expression used inside a lambda is computed again for every element; bound as the
+    only element of an array it is not.
+    """
+    return F.get(F.transform(F.array(value), result), 0)
+
+
 def split_list(text: Column, separators: str = "[,|]") -> Column:
     """Delimited text to an array; NULL gives one empty token, as an empty text does."""
     return F.split(F.coalesce(text, F.lit("")), separators)
@@ -56,10 +65,15 @@ def sigmoid(x: Column) -> Column:
 
 def softmax(scores: Column) -> Column:
     """Weights over an array of doubles; the maximum is taken off first."""
-    top = F.array_max(scores)
-    powers = F.transform(scores, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(powers, lambda x: x / total)
+
+    def shares(powers: Column) -> Column:
+        total = F.aggregate(powers, F.lit(0.0), lambda acc, x: acc + x)
+        return let(total, lambda t: F.transform(powers, lambda x: x / t))
+
+    def powers_of(given: Column) -> Column:
+        return let(F.array_max(given), lambda top: F.transform(given, lambda x: F.exp(x - top)))
+
+    return let(let(scores, powers_of), shares)
 
 
 def masked_softmax(scores: Column, ids: Column) -> Column:

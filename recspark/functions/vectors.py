@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let
+
 
 def as_doubles(v: Column) -> Column:
     return v.cast("array<double>")
@@ -31,8 +33,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """Unit vector; a zero vector gives NULL."""
-    size = norm(v)
-    return F.when(size > 0, F.transform(as_doubles(v), lambda x: x / size))
+    unit = let(norm(v), lambda size: F.transform(as_doubles(v), lambda x: x / size))
+    return F.when(norm(v) > 0, unit)
 
 
 def add(a: Column, b: Column) -> Column:

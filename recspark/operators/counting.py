@@ -59,48 +59,61 @@ def count_encode(
     return df
 
 
-def fit_distinct_counts(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """Per key value: rows and the distinct values of each other column.
+def fit_distinct_counts(df: DataFrame, pairs: dict[str, Sequence[str]]) -> DataFrame:
+    """`(feature, key, n, <key>_<value>_nunique..)` for all key columns, from one scan.
 
-    Spark first removes repeats of (key, value) on both sides of a shuffle on that
-    pair, so a hot key is spread by its values.
+    Repeats of (key, value) are removed on both sides of a shuffle on that pair, so a hot
+    key is spread by its values before its distinct values are counted.
     """
-    counted = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).cast("string").alias("key"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_distinct(v).alias(f"{key}_{v}_nunique") for v in values],
+    names = {(k, v): f"{k}_{v}_nunique" for k, values in pairs.items() for v in values}
+    first_pairs = [names[k, values[0]] for k, values in pairs.items()]
+    entries = [
+        F.struct(
+            F.lit(k).alias("feature"),
+            F.lit(name).alias("pair"),
+            F.col(k).cast("string").alias("key"),
+            F.col(v).cast("string").alias("value"),
         )
-        .withColumn("feature", F.lit(key))
+        for (k, v), name in names.items()
+    ]
+    distinct = (
+        df.select(F.inline(F.array(*entries)))
+        .where(F.col("key").isNotNull())
+        .groupBy("feature", "pair", "key", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    counted = distinct.groupBy("feature", "key").agg(
+        # each pair of a key column has all rows of the key, so one of them is counted
+        F.sum(F.when(F.col("pair").isin(first_pairs), F.col("rows"))).alias("n"),
+        *[F.count(F.when(F.col("pair") == name, F.col("value"))).alias(name) for name in names.values()],
     )
-    return materialize(counted, "distinct")
+    return materialize(counted, "distinct", partition_by=["feature"])
 
 
 def distinct_encode(
     df: DataFrame,
-    fitted: dict[str, DataFrame],
+    fitted: DataFrame,
+    pairs: dict[str, Sequence[str]],
     bins: dict[str, int] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add `<key>_<value>_nunique` for every fitted pair, binned over the rows if asked."""
-    features = {
-        key: [c for c in table.columns if c.endswith("_nunique")] for key, table in fitted.items()
-    }
+    """Add `<key>_<value>_nunique` for every pair, binned over the rows if asked."""
     edges = {}
     if bins:
-        parts = None
-        for key, table in fitted.items():
-            pairs = [
-                F.struct(F.lit(c).alias("feat"), F.col(c).cast("double").alias("x"), F.col("n"))
-                for c in features[key]
-            ]
-            part = table.select(F.inline(F.array(*pairs)))
-            parts = part if parts is None else parts.unionAll(part)
-        weights = parts.groupBy("feat", "x").agg(F.sum("n").alias("n"))
+        entries = [
+            F.struct(
+                F.lit(f"{k}_{v}_nunique").alias("feat"),
+                F.when(F.col("feature") == k, F.col(f"{k}_{v}_nunique")).cast("double").alias("x"),
+                F.col("n").alias("n"),
+            )
+            for k, values in pairs.items()
+            for v in values
+        ]
+        weights = fitted.select(F.inline(F.array(*entries))).where(F.col("x").isNotNull())
+        weights = weights.groupBy("feat", "x").agg(F.sum("n").alias("n"))
         edges = {r.feat: r.edges for r in quantile_edges(weights, bins).collect()}
-    for key, table in fitted.items():
-        if bins:
-            table = table.withColumns({c: bin_of(F.col(c), edges[c]) for c in features[key]})
-        df = attach_feature(df, table, key, rows_per_task)
+    for key, values in pairs.items():
+        columns = [f"{key}_{v}_nunique" for v in values]
+        shown = [(bin_of(F.col(c), edges[c]) if bins else F.col(c)).alias(c) for c in columns]
+        df = attach_feature(df, fitted.select("feature", "key", "n", *shown), key, rows_per_task)
     return df

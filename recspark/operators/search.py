@@ -9,6 +9,8 @@ blocks, so its size does not matter.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -243,14 +245,16 @@ def train_codebooks(
 ) -> DataFrame:
     """`(part, code, word)`: k-means words for each slice of the (residual) vectors."""
     source = _residuals(lists, centroids) if centroids is not None else lists
-    books = None
-    for part, piece in enumerate(split_vector(F.col("item_vec"), parts, size)):
-        words = centroids_of(source.select(piece.alias("piece")), "piece", codes, seed)
-        words = words.select(
-            F.lit(part).alias("part"), F.col("cluster").alias("code"), F.col("centroid").alias("word")
-        )
-        books = words if books is None else books.unionAll(words)
-    return books
+    pieces = split_vector(F.col("item_vec"), parts, size)
+
+    def train(part: int) -> DataFrame:
+        words = centroids_of(source.select(pieces[part].alias("piece")), "piece", codes, seed)
+        number = F.lit(part).alias("part")
+        return words.select(number, F.col("cluster").alias("code"), F.col("centroid").alias("word"))
+
+    # the parts are independent, so their jobs may share the cluster
+    with ThreadPoolExecutor(parts) as pool:
+        return reduce(DataFrame.unionAll, pool.map(train, range(parts)))
 
 
 def _residuals(lists: DataFrame, centroids: DataFrame) -> DataFrame:

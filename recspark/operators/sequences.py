@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.arrays import pad, split_list
 from ..storage import materialize
@@ -17,9 +18,12 @@ OOV = "OOV"
 
 def _first_seen(df: DataFrame, tokens: Column, order_by: Sequence[str]) -> DataFrame:
     exploded = df.select(*order_by, F.posexplode(tokens).alias("_pos", "token"))
-    return exploded.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*order_by, "_pos")).alias("first")
-    )
+    place = F.struct(*order_by, "_pos")
+    if len(order_by) == 1 and isinstance(df.schema[order_by[0]].dataType, T.IntegralType):
+        # one number instead of a pair: the least of it needs no sort of the tokens
+        shift = F.lit(1 << 32).cast("decimal(11,0)")
+        place = F.col(order_by[0]).cast("decimal(20,0)") * shift + F.col("_pos")
+    return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
 
 
 def fit_vocabulary(df: DataFrame, tokens: Column, order_by: Sequence[str]) -> DataFrame:

@@ -56,6 +56,13 @@ def attach(
     return left.join(right, [*on, "_salt"], how).drop("_salt", "_splits")
 
 
+def is_small(df: DataFrame, rows: int = 20_000, size: int = 32 << 20) -> bool:
+    """Whether a table may be broadcast: few rows, and few bytes when written as JSON."""
+    written = F.length(F.to_json(F.struct("*")))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(written)).first()
+    return found[0] <= rows and (found[1] or 0) <= size
+
+
 def attach_side(
     df: DataFrame,
     side: DataFrame,
@@ -63,7 +70,12 @@ def attach_side(
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """`attach` for a side table that was not counted: the hot keys of `df` are found first."""
+    """`attach` for a side table that was not counted.
+
+    A side that proves small is broadcast; else the hot keys of `df` are found first.
+    """
+    if is_small(side):
+        return df.join(F.broadcast(side), list(on), how)
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     hot = materialize(counts.where(F.col("n") > rows_per_task), "hot")
     if hot.isEmpty():

@@ -48,8 +48,7 @@ def count_features(df: DataFrame) -> DataFrame:
 
 
 def distinct_features(df: DataFrame) -> DataFrame:
-    fitted = {key: fit_distinct_counts(df, key, values) for key, values in DISTINCT.items()}
-    return distinct_encode(df, fitted, DISTINCT_BINS)
+    return distinct_encode(df, fit_distinct_counts(df, DISTINCT), DISTINCT, DISTINCT_BINS)
 
 
 def mean_features(

@@ -122,9 +122,12 @@ def test_count_and_distinct_encodings_split(log):
     split = counting.count_encode(log, fitted, ["key"], 4, HOT)
     plain = counting.count_encode(log, fitted, ["key"], 4)
     assert rows_of(split, "id", "key_cnt") == rows_of(plain, "id", "key_cnt")
-    table = {"key": counting.fit_distinct_counts(log, "key", ["item"])}
-    split = counting.distinct_encode(log, table, None, HOT)
-    plain = counting.distinct_encode(log, table)
+    pairs = {"key": ["item", "y"], "item": ["key"]}
+    table = counting.fit_distinct_counts(log, pairs)
+    split = counting.distinct_encode(log, table, pairs, None, HOT)
+    plain = counting.distinct_encode(log, table, pairs)
+    sizes = {r.key: r.n for r in table.where("feature = 'key'").collect()}
+    assert sizes["hot"] == log.where("key = 'hot'").count()
     assert rows_of(split, "id", "key_item_nunique") == rows_of(plain, "id", "key_item_nunique")
 
 
