@@ -8,28 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize
+from .keys import is_whole, key_fields, key_text, keyed, present
 from .scaling import bin_of, quantile_edges
 from .skew import ROWS_PER_TASK, attach
 
 
 def fit_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`(feature, key, n)`: rows per value of every key column, from one scan."""
-    entries = [
-        F.struct(F.lit(k).alias("feature"), F.col(k).cast("string").alias("key")) for k in keys
-    ]
-    counts = df.select(F.inline(F.array(*entries))).where(F.col("key").isNotNull())
-    counts = counts.groupBy("feature", "key").agg(F.count(F.lit(1)).alias("n"))
-    return materialize(counts, "counts", partition_by=["feature"])
+    """`(feature, number, key, n)`: rows per value of every key column, from one scan."""
+    entries = [F.struct(*key_fields(df, k)) for k in keys]
+    counts = df.select(F.inline(F.array(*entries))).where(present())
+    counts = counts.groupBy("feature", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+    shaped = counts.select("feature", "number", key_text().alias("key"), "n")
+    return materialize(shaped, "counts", partition_by=["feature"])
 
 
 def attach_feature(
     df: DataFrame, fitted: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Join the fitted rows of one key column; `fitted` holds `feature`, `key` and `n`."""
-    table = fitted.where(F.col("feature") == key).drop("feature")
-    table = table.withColumnRenamed("key", "_key")
-    keyed = df.withColumn("_key", F.col(key).cast("string"))
-    return attach(keyed, table, ["_key"], rows_per_task=rows_per_task).drop("_key")
+    """Join the fitted rows of one key column; see `keys` for the shape of `fitted`."""
+    left, table = keyed(df, fitted, key)
+    return attach(left, table, ["_key"], rows_per_task=rows_per_task).drop("_key")
 
 
 def count_encode(
@@ -53,41 +51,51 @@ def count_encode(
         edges = {r.feat: r.edges for r in fit.collect()}
     for key in keys:
         value = bin_of(F.col("n"), edges[key]) if bins else F.col("n")
-        table = fitted.where(F.col("feature") == key)
-        table = table.select("feature", "key", "n", value.alias(f"{key}_cnt"))
-        df = attach_feature(df, table, key, rows_per_task)
+        df = attach_feature(df, fitted.withColumn(f"{key}_cnt", value), key, rows_per_task)
     return df
 
 
 def fit_distinct_counts(df: DataFrame, pairs: dict[str, Sequence[str]]) -> DataFrame:
-    """`(feature, key, n, <key>_<value>_nunique..)` for all key columns, from one scan.
+    """`(feature, number, key, n, <key>_<value>_nunique..)` for all key columns, from one scan.
 
     Repeats of (key, value) are removed on both sides of a shuffle on that pair, so a hot
     key is spread by its values before its distinct values are counted.
     """
-    names = {(k, v): f"{k}_{v}_nunique" for k, values in pairs.items() for v in values}
-    first_pairs = [names[k, values[0]] for k, values in pairs.items()]
+    names = [(k, v, f"{k}_{v}_nunique") for k, values in pairs.items() for v in values]
+    # each pair of a key column has all rows of the key, so the first one counts them
+    counting = [i for i, (k, v, _) in enumerate(names) if v == pairs[k][0]]
+    whole = all(is_whole(df, c) for k, v, _ in names for c in (k, v))
+    kind = "long" if whole else "string"
     entries = [
         F.struct(
-            F.lit(k).alias("feature"),
-            F.lit(name).alias("pair"),
-            F.col(k).cast("string").alias("key"),
-            F.col(v).cast("string").alias("value"),
+            F.lit(i).alias("pair"),
+            F.col(f"`{k}`").cast(kind).alias("item"),
+            F.col(f"`{v}`").cast(kind).alias("value"),
         )
-        for (k, v), name in names.items()
+        for i, (k, v, _) in enumerate(names)
     ]
     distinct = (
         df.select(F.inline(F.array(*entries)))
-        .where(F.col("key").isNotNull())
-        .groupBy("feature", "pair", "key", "value")
+        .where(F.col("item").isNotNull())
+        .groupBy("pair", "item", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    counted = distinct.groupBy("feature", "key").agg(
-        # each pair of a key column has all rows of the key, so one of them is counted
-        F.sum(F.when(F.col("pair").isin(first_pairs), F.col("rows"))).alias("n"),
-        *[F.count(F.when(F.col("pair") == name, F.col("value"))).alias(name) for name in names.values()],
+    feature = F.element_at(F.array(*[F.lit(k) for k, _, _ in names]), F.col("pair") + 1)
+    counted = distinct.groupBy(feature.alias("feature"), "item").agg(
+        F.sum(F.when(F.col("pair").isin(counting), F.col("rows"))).alias("n"),
+        *[
+            F.count(F.when(F.col("pair") == i, F.col("value"))).alias(name)
+            for i, (_, _, name) in enumerate(names)
+        ],
     )
-    return materialize(counted, "distinct", partition_by=["feature"])
+    shaped = counted.select(
+        "feature",
+        F.col("item").try_cast("long").alias("number"),
+        F.col("item").cast("string").alias("key"),
+        "n",
+        *[name for _, _, name in names],
+    )
+    return materialize(shaped, "distinct", partition_by=["feature"])
 
 
 def distinct_encode(
@@ -115,5 +123,6 @@ def distinct_encode(
     for key, values in pairs.items():
         columns = [f"{key}_{v}_nunique" for v in values]
         shown = [(bin_of(F.col(c), edges[c]) if bins else F.col(c)).alias(c) for c in columns]
-        df = attach_feature(df, fitted.select("feature", "key", "n", *shown), key, rows_per_task)
+        table = fitted.select("feature", "number", "key", "n", *shown)
+        df = attach_feature(df, table, key, rows_per_task)
     return df

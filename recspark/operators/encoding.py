@@ -1,4 +1,4 @@
-"""Category dictionaries: fitted once as a table `(feature, value, code, n)`, then joined."""
+"""Category dictionaries: fitted once as `(feature, number, value, code, n)`, then joined."""
 
 from __future__ import annotations
 
@@ -6,14 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..storage import materialize
+from .keys import key_fields, key_text, keyed, present
 from .ordering import global_rank
 from .skew import ROWS_PER_TASK, attach
 
-_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
 
 def fit_dictionary(
     df: DataFrame, columns: Sequence[str], as_text: bool = False, offset: int = 0
@@ -23,30 +21,21 @@ def fit_dictionary(
     Whole numbers sort as numbers unless `as_text`; text sorts by code point. The
     values are counted before the one global sort, which all features share.
     """
-    entries = []
-    for name in columns:
-        numeric = isinstance(df.schema[name].dataType, _WHOLE) and not as_text
-        entries.append(
-            F.struct(
-                F.lit(name).alias("feature"),
-                (F.col(name).cast("long") if numeric else F.lit(None).cast("long")).alias("number"),
-                F.col(name).cast("string").alias("value"),
-            )
-        )
+    entries = [F.struct(*key_fields(df, name)) for name in columns]
     counts = (
         df.select(F.inline(F.array(*entries)))
-        .where(F.col("value").isNotNull())
-        .groupBy("feature", "number", "value")
+        .where(present())
+        .groupBy("feature", "number", "text")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select("feature", "number", key_text().alias("value"), "n")
     )
-    ranked = global_rank(counts, ["feature", "number", "value"], "rank")
+    order = ["feature", "value"] if as_text else ["feature", "number", "value"]
+    ranked = global_rank(counts, order, "rank")
     starts = ranked.groupBy("feature").agg(F.min("rank").alias("start"))
     coded = ranked.join(F.broadcast(starts), "feature").select(
-        "feature", "value", (F.col("rank") - F.col("start") + offset).alias("code"), "n"
-    )
-    return materialize(coded, "dictionary", partition_by=["feature"]).select(
-        "feature", "value", "code", "n"
+        "feature", "number", "value", (F.col("rank") - F.col("start") + offset).alias("code"), "n"
     )
+    return materialize(coded, "dictionary", partition_by=["feature"])
 
 
 def feature_dictionary(dictionary: DataFrame, feature: str) -> DataFrame:
@@ -66,9 +55,9 @@ def encode(
     into = into or {}
     for name in columns:
         target = into.get(name, name)
-        values = feature_dictionary(dictionary, name).toDF("_value", "_code", "n")
-        keyed = df.withColumn("_value", F.col(name).cast("string"))
-        joined = attach(keyed, values, ["_value"], rows_per_task=rows_per_task)
+        renamed = dictionary.withColumnsRenamed({"value": "key", "code": "_code"})
+        left, values = keyed(df, renamed, name)
+        joined = attach(left, values, ["_key"], rows_per_task=rows_per_task)
         code = F.col("_code")
         if unknown is not None:
             code = F.coalesce(code, F.lit(unknown).cast("long"))

@@ -105,7 +105,7 @@ class FeatureProcessor:
         if spec.dense:
             loaded.scaler = spark.read.parquet(f"{path}/scaler")
         if spec.sparse:
-            schema = "value string, code long, n long, feature string"
+            schema = "number long, value string, code long, n long, feature string"
             loaded.dictionary = spark.read.schema(schema).parquet(f"{path}/dictionary")
         for name in spec.sequences:
             table = spark.read.parquet(f"{path}/vocabulary_{name}")

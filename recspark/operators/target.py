@@ -1,6 +1,6 @@
 """Target encodings that do not leak: one fitted table per training set, then joins.
 
-The fitted table has rows `(feature, key, n, total, lo, hi)`; the row with feature
+The fitted table has rows `(feature, number, key, n, total, lo, hi)`; the row with feature
 `*` covers all training rows and gives the prior.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..storage import materialize
 from .counting import attach_feature
+from .keys import key_fields, key_text, keyed, present
 from .skew import ROWS_PER_TASK, attach, order_number, running_sums
 
 _ALL = "*"
@@ -23,23 +24,23 @@ def fit_target(
 ) -> DataFrame:
     """Rows, target sum and order range per value of every key, from one scan."""
     place = order_number(train, order) if order else F.lit(0)
-    features = [(F.lit(k), F.col(k).cast("string")) for k in keys] + [(F.lit(_ALL), F.lit(""))]
+    whole = [F.lit(_ALL).alias("feature"), F.lit(0).cast("long").alias("number")]
+    whole.append(F.lit(None).cast("string").alias("text"))
     entries = [
-        F.struct(
-            name.alias("feature"), key.alias("key"), F.col(target).alias("y"), place.alias("place")
-        )
-        for name, key in features
+        F.struct(*fields, F.col(target).alias("y"), place.alias("place"))
+        for fields in [*(key_fields(train, k) for k in keys), whole]
     ]
     sums = (
         train.select(F.inline(F.array(*entries)))
-        .where(F.col("key").isNotNull())
-        .groupBy("feature", "key")
+        .where(present())
+        .groupBy("feature", "number", "text")
         .agg(
             F.count("y").alias("n"),
             F.sum("y").alias("total"),
             F.min("place").alias("lo"),
             F.max("place").alias("hi"),
         )
+        .select("feature", "number", key_text().alias("key"), "n", "total", "lo", "hi")
     )
     return materialize(sums, "target", partition_by=["feature"])
 
@@ -51,7 +52,7 @@ def prior(fitted: DataFrame) -> float:
 
 
 def _means(fitted: DataFrame, name: str) -> DataFrame:
-    return fitted.select("feature", "key", "n", (F.col("total") / F.col("n")).alias(name))
+    return fitted.select("feature", "number", "key", "n", (F.col("total") / F.col("n")).alias(name))
 
 
 def _filled(df: DataFrame, name: str, value: float) -> DataFrame:
@@ -63,7 +64,7 @@ def positive_count_train(
 ) -> DataFrame:
     """`<key>_<target>_cnt`: the target sum of the key without the row itself."""
     for key in keys:
-        table = fitted.select("feature", "key", "n", F.col("total").alias("_total"))
+        table = fitted.select("feature", "number", "key", "n", F.col("total").alias("_total"))
         name = f"{key}_{target}_cnt"
         joined = attach_feature(train, table, key, rows_per_task)
         train = joined.withColumn(name, F.col("_total") - F.col(target)).drop("_total")
@@ -78,7 +79,9 @@ def positive_count_test(
     fill = {r.feature: r["mean"] for r in averages.collect()}  # one row per key column
     for key in keys:
         name = f"{key}_{target}_cnt"
-        table = fitted.select("feature", "key", "n", F.col("total").cast("double").alias(name))
+        table = fitted.select(
+            "feature", "number", "key", "n", F.col("total").cast("double").alias(name)
+        )
         test = _filled(attach_feature(test, table, key, rows_per_task), name, fill[key])
     return test
 
@@ -108,7 +111,7 @@ def smooth_mean(
     for key in keys:
         name = f"{key}_{target}_mean"
         smooth = (F.col("total") + F.lit(m * overall)) / (F.col("n") + F.lit(m))
-        table = fitted.select("feature", "key", "n", smooth.alias(name))
+        table = fitted.select("feature", "number", "key", "n", smooth.alias(name))
         df = _filled(attach_feature(df, table, key, rows_per_task), name, overall)
     return df
 
@@ -120,7 +123,9 @@ def leave_one_out_train(
     overall = prior(fitted)
     for key in keys:
         name = f"{key}_{target}_mean"
-        table = fitted.select("feature", "key", "n", F.col("n").alias("_n"), F.col("total").alias("_t"))
+        table = fitted.select(
+            "feature", "number", "key", "n", F.col("n").alias("_n"), F.col("total").alias("_t")
+        )
         joined = attach_feature(train, table, key, rows_per_task)
         others = F.try_divide(F.col("_t") - F.col(target), F.col("_n") - 1)
         train = _filled(joined.withColumn(name, others).drop("_n", "_t"), name, overall)
@@ -128,27 +133,24 @@ def leave_one_out_train(
 
 
 def fit_fold_target(train: DataFrame, keys: Sequence[str], target: str, fold: str) -> DataFrame:
-    """Rows `(feature, key, fold, n, mean)`: the key mean over the other folds."""
+    """Rows `(feature, number, key, fold, n, mean)`: the key mean over the other folds."""
     entries = [
-        F.struct(
-            F.lit(k).alias("feature"),
-            F.col(k).cast("string").alias("key"),
-            F.col(fold).alias("fold"),
-            F.col(target).alias("y"),
-        )
+        F.struct(*key_fields(train, k), F.col(fold).alias("fold"), F.col(target).alias("y"))
         for k in keys
     ]
     own = (
         train.select(F.inline(F.array(*entries)))
-        .where(F.col("key").isNotNull())
-        .groupBy("feature", "key", "fold")
+        .where(present())
+        .groupBy("feature", "number", "text", "fold")
         .agg(F.count("y").alias("n"), F.sum("y").alias("total"))
     )
-    whole = Window.partitionBy("feature", "key")  # one row per fold
+    whole = Window.partitionBy("feature", "number", "text")  # one row per fold
     others = F.try_divide(
         F.sum("total").over(whole) - F.col("total"), F.sum("n").over(whole) - F.col("n")
     )
-    means = own.select("feature", "key", "fold", "n", others.alias("mean"))
+    means = own.select(
+        "feature", "number", key_text().alias("key"), "fold", "n", others.alias("mean")
+    )
     return materialize(means, "folds", partition_by=["feature"])
 
 
@@ -165,11 +167,9 @@ def fold_mean_train(
     overall = prior(fitted)
     for key in keys:
         name = f"{key}_{target}_mean"
-        table = fold_fitted.where(F.col("feature") == key).select(
-            F.col("key").alias("_key"), F.col("fold").alias(fold), "n", F.col("mean").alias(name)
-        )
-        keyed = train.withColumn("_key", F.col(key).cast("string"))
-        joined = attach(keyed, table, ["_key", fold], rows_per_task=rows_per_task)
+        left, table = keyed(train, fold_fitted, key)
+        table = table.withColumnsRenamed({"fold": fold, "mean": name})
+        joined = attach(left, table, ["_key", fold], rows_per_task=rows_per_task)
         train = _filled(joined.select(*train.columns, name), name, overall)
     return train
 
@@ -187,15 +187,13 @@ def expanding_mean_train(
     for key in keys:
         name = f"{key}_{target}_mean"
         columns = train.columns
-        table = fitted.where(F.col("feature") == key).drop("feature", "total")
-        table = table.withColumnRenamed("key", "_key")
-        # rows without a key get the prior; spread them, they are no group
-        row = F.pmod(F.xxhash64(*order_by), F.lit(4096)).cast("string")
-        keyed = train.withColumn(
-            "_key", F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\0"), row))
-        )
+        left, table = keyed(train, fitted.drop("total"), key)
+        # rows without a key get the prior; they are no group and may be spread
+        row = F.pmod(F.xxhash64(*order_by), F.lit(4096)).cast("int")
+        left = left.withColumn("_none", F.when(F.col("_key").isNull(), row).otherwise(0))
+        table = table.withColumn("_none", F.lit(0))
         sums = {"_n": F.when(F.col(target).isNotNull(), 1).otherwise(0), "_t": F.col(target)}
-        summed = running_sums(keyed, table, ["_key"], order_by, sums, rows_per_task)
-        mean = F.when(F.col(key).isNotNull(), F.try_divide(F.col("_t"), F.col("_n")))
+        summed = running_sums(left, table, ["_key", "_none"], order_by, sums, rows_per_task)
+        mean = F.when(F.col("_key").isNotNull(), F.try_divide(F.col("_t"), F.col("_n")))
         train = _filled(summed.withColumn(name, mean).select(*columns, name), name, overall)
     return train
