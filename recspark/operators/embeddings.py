@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine, dot, l2_normalize, zeros
-from .skew import ROWS_PER_TASK, attach
+from .skew import ROWS_PER_TASK, attach, attach_side
 
 
 def train_vectors(
@@ -47,7 +47,7 @@ def pair_similarity(pairs: DataFrame, vectors: DataFrame, first: str, second: st
     """Cosine of the two words of each row; NULL when a word has no vector."""
     a = vectors.select(F.col("token").alias(first), F.col("vector").alias("_a"))
     b = vectors.select(F.col("token").alias(second), F.col("vector").alias("_b"))
-    joined = pairs.join(a, first, "left").join(b, second, "left")
+    joined = attach_side(attach_side(pairs, a, [first]), b, [second])
     return joined.select(*pairs.columns, cosine(F.col("_a"), F.col("_b")).alias("similarity"))
 
 

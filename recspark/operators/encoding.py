@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 from .keys import key_fields, key_text, keyed, present
 from .ordering import global_rank
-from .skew import ROWS_PER_TASK, attach
+from .skew import ROWS_PER_TASK, attach, attach_side
 
 
 def fit_dictionary(
@@ -101,9 +101,7 @@ def one_hot(df: DataFrame, codes: Sequence[str], dictionary: DataFrame) -> DataF
     return df.select(*[c for c in df.columns if c not in codes], *flags)
 
 
-def lookup(
-    df: DataFrame, table: DataFrame, key: str, value: str, default: object, n: str | None = None
-) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, key: str, value: str, default: object) -> DataFrame:
     """Left join to a `(key, value)` table with a default for unknown keys."""
-    joined = attach(df, table, [key], n=n) if n else df.join(table.select(key, value), key, "left")
+    joined = attach_side(df, table.select(key, value), [key])
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))

@@ -21,7 +21,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.arrays import sigmoid
 from ..functions.vectors import add
-from .skew import ROWS_PER_TASK, attach
+from .skew import ROWS_PER_TASK, attach, attach_side
 
 
 def assembled(codes: Sequence[str], dense: Sequence[str], output: str = "features") -> list:
@@ -70,6 +70,7 @@ def factor_vectors(
 ) -> tuple[DataFrame, DataFrame]:
     """One vector per user and per item, by alternating least squares on implicit feedback."""
     counted = df.groupBy(user, item).agg(F.sum(rating).cast("float").alias(rating))
+    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     model = ALS(
         userCol=user,
         itemCol=item,
@@ -78,7 +79,8 @@ def factor_vectors(
         rank=rank,
         seed=seed,
         maxIter=rounds,
-        checkpointInterval=-1,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
     ).fit(counted)
     users = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("vector"))
     items = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("vector"))
@@ -136,6 +138,13 @@ def batch_score(
     return df.withColumn(name, predict(*inputs))
 
 
+def ranking_rows(
+    candidates: DataFrame, user: str, users: DataFrame, item: str, items: DataFrame
+) -> DataFrame:
+    """Recalled `(user, item)` rows with the features of both sides: the ranking input."""
+    return attach_side(attach_side(candidates, users, [user]), items, [item])
+
+
 def ranked_list(df: DataFrame, user: str, score: str, tie: str) -> DataFrame:
     """All rows, by user, best score first."""
     return df.orderBy(user, F.desc(score), tie)

@@ -21,11 +21,12 @@ def first_events(
 ) -> DataFrame:
     """The first `limit` rows of each user, with their 0-based `place`.
 
-    Spark prunes to `limit` rows per user before the shuffle, so a hot user is harmless.
+    The filter is on the row number itself, which lets Spark prune to `limit` rows per
+    user before the shuffle, so a hot user is harmless.
     """
     earliest = Window.partitionBy(user).orderBy(*order_by)
-    ranked = df.withColumn("place", F.row_number().over(earliest) - 1)
-    return ranked.where(F.col("place") < limit)
+    ranked = df.withColumn("_n", F.row_number().over(earliest)).where(F.col("_n") <= limit)
+    return ranked.withColumn("place", F.col("_n") - 1).drop("_n")
 
 
 def prefix_histories(

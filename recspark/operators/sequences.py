@@ -83,6 +83,7 @@ def longest(df: DataFrame, name: str) -> int:
 
 def pad_to_longest(df: DataFrame, name: str) -> DataFrame:
     """Zeros at the end, up to the longest list of the table."""
+    df = materialize(df, "lists")  # read twice
     return df.withColumn(name, pad(F.col(name), longest(df, name)))
 
 

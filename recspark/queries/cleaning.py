@@ -300,7 +300,7 @@ def g1(spark, d):
 def g2(spark, d):
     sold = table(spark, d, "lineitem").select(F.col("l_partkey").alias("k"))
     large = table(spark, d, "part").where("p_size > 25").select(F.col("p_partkey").alias("k"))
-    return sold.intersect(large).agg(F.count(F.lit(1)).alias("common"))
+    return sold.distinct().intersect(large).agg(F.count(F.lit(1)).alias("common"))
 
 
 @query(
@@ -310,7 +310,7 @@ def g2(spark, d):
 def g3(spark, d):
     buyers = table(spark, d, "orders").select(F.col("o_custkey").alias("custkey"))
     customers = table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"))
-    return customers.distinct().join(buyers, "custkey", "left_anti")
+    return customers.distinct().join(buyers.distinct(), "custkey", "left_anti")
 
 
 @query("g4_distinct", """SELECT DISTINCT p_brand, p_type FROM part""")

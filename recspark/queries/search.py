@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as vf
 from ..operators import samples, search
+from ..operators.ranking import ranking_rows
 from ..session import table
 from ..storage import materialize
 from .base import clicks, joined, query, r6
@@ -287,8 +288,8 @@ def c7(spark, d):
     rows = search.unpacked(lists.withColumnRenamed("query_id", "uid"), "uid", "items")
     customers = table(spark, d, "customer").select(F.col("c_custkey").alias("uid"), F.col("c_mktsegment").alias("segment"))
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_brand").alias("brand"))
-    joined_rows = rows.join(customers, "uid", "left").join(parts, "item_id", "left")
-    return joined_rows.withColumn("score", F.round("score", 4))
+    attached = ranking_rows(rows, "uid", customers, "item_id", parts)
+    return attached.withColumn("score", F.round("score", 4))
 
 
 @query(

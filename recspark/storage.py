@@ -31,10 +31,14 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write `df` to the shared folder and return the written table."""
+    """Write `df` to the shared folder and return the written table.
+
+    A partitioned table is rebalanced first, which gives each folder few files and
+    splits a folder that holds most of the rows over several tasks.
+    """
     path = new_path(df.sparkSession, label)
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
