@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -10,7 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import cosine, dot, l2_normalize, zeros
+from ..functions.vectors import as_doubles, cosine, dot, l2_normalize, zeros
 from .skew import ROWS_PER_TASK, attach, attach_side
 
 
@@ -112,16 +112,32 @@ def vector_rows(
     return joined.select(*key, "pos", on, F.coalesce("vector", zeros(size)).alias("vector"))
 
 
+def _total(entries: Column, weigh: Callable[[Column, Column], Column]) -> Column:
+    """Sum of the vectors `v` of a list of entries, each component through `weigh`."""
+    nothing = F.transform(F.get(entries, 0)["v"], lambda x: F.lit(0.0))
+    return F.aggregate(
+        entries, nothing, lambda acc, e: F.zip_with(acc, e["v"], lambda x, y: x + weigh(y, e))
+    )
+
+
 def pooled(
-    looked_up: DataFrame, key: Sequence[str], vector: str = "vector", weight: Column | None = None
+    positions: DataFrame, key: Sequence[str], item: str = "id", vector: str = "vector"
 ) -> DataFrame:
-    """Mean vector per key, with partial sums before the shuffle.
+    """`(key.., mean, masked_mean)`: mean vector of the positions of each row.
 
-    All rows count, padding too; filter `id != 0` first for the masked mean.
+    The plain mean counts padding too, the masked one only ids other than 0 (NULL when
+    there are none). A group is one row's padded list, so it is small.
     """
-    values = array_to_vector(F.col(vector).cast("array<double>"))
-    mean = Summarizer.mean(values, weight) if weight is not None else Summarizer.mean(values)
-    return looked_up.groupBy(*key).agg(vector_to_array(mean).alias(vector))
+    entry = F.struct(F.col(item).alias("i"), as_doubles(F.col(vector)).alias("v"))
+    listed = positions.groupBy(*key).agg(F.collect_list(entry).alias("_e"))
+    listed = listed.withColumn("_r", F.filter("_e", lambda e: e["i"] != 0))
+
+    def mean(name: str) -> Column:
+        size = F.size(name)
+        total = _total(F.col(name), lambda x, e: x)
+        return F.when(size > 0, F.transform(total, lambda x: x / size))
+
+    return listed.select(*key, mean("_e").alias("mean"), mean("_r").alias("masked_mean"))
 
 
 def attention_pooled(
@@ -147,15 +163,9 @@ def attention_pooled(
         F.transform("_e", lambda e: e["s"]), F.transform("_e", lambda e: e["i"])
     )
     listed = listed.withColumn("weights", weights)
-    weighted = F.zip_with(
-        "_e", "weights", lambda e, w: F.transform(e["v"], lambda x: x * w)
-    )
-    total = F.aggregate(
-        F.slice(weighted, 2, F.size("_e")),
-        F.get(weighted, 0),
-        lambda acc, v: F.zip_with(acc, v, lambda x, y: x + y),
-    )
-    return listed.select(*key, "weights", total.alias(vector))
+    pairs = F.zip_with("_e", "weights", lambda e, w: F.struct(e["v"].alias("v"), w.alias("w")))
+    total = _total(F.col("_p"), lambda x, p: x * p["w"])
+    return listed.withColumn("_p", pairs).select(*key, "weights", total.alias(vector))
 
 
 def dot_score(query: str, vector: str) -> Column:

@@ -21,6 +21,7 @@ from ..functions.vectors import l2_normalize
 from ..storage import materialize
 
 BLOCK = 65_536  # vectors of one side in one cell
+SMALL_BLOCK = 1_024  # not worth splitting further
 STRIP = 256  # queries scored at a time inside a cell
 MAX_LISTS = 65_536  # centroids are sent to all tasks, so their number is bounded
 _PLACES = 9  # scores equal to this many decimals are ties, broken by item id
@@ -138,10 +139,15 @@ def exact_topk(
     """
     q, v = _sides(queries, query_id, query_vec, items, item_id, item_vec, metric == "cosine")
     # counts of whole tables come from the file footers
+    rows, others = queries.count(), items.count()
+    query_blocks, item_blocks = max(1, -(-rows // block)), max(1, -(-others // block))
+    tasks = queries.sparkSession.sparkContext.defaultParallelism
+    while query_blocks * item_blocks < tasks and rows > 2 * SMALL_BLOCK * query_blocks:
+        query_blocks *= 2  # smaller query blocks keep all cores busy
     blocks = [
         F.lit(0).alias("cluster"),
-        F.lit(max(1, -(-queries.count() // block))).alias("query_blocks"),
-        F.lit(max(1, -(-items.count() // block))).alias("item_blocks"),
+        F.lit(query_blocks).alias("query_blocks"),
+        F.lit(item_blocks).alias("item_blocks"),
     ]
     return _search(q.select("*", *blocks), v.select("*", *blocks), k, metric == "l2")
 

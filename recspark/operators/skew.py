@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.times import micros
 from ..storage import materialize
 
 ROWS_PER_TASK = 4_000_000
@@ -87,10 +88,8 @@ def attach_side(
 def order_number(df: DataFrame, name: str) -> Column:
     """The order column as a number, to cut its range into blocks."""
     kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(name).cast("timestamp"))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return micros(df, name)
     if isinstance(kind, T.DateType):
         return F.unix_date(name)
     return F.col(name).cast("double")

@@ -12,7 +12,12 @@ from ..operators.scaling import fit_quantile_bins, quantile_bin
 from ..operators.skew import attach_side
 from ..operators.target import expanding_mean_train, fit_target, mean_test
 
-COMPOSITES = {"uid-author_id": ("uid", "author_id"), "uid-did": ("uid", "did"), "did-channel": ("did", "channel")}
+# fixed values: the composite keys, key columns and bin counts of the competition features
+COMPOSITES = {
+    "uid-author_id": ("uid", "author_id"),
+    "uid-did": ("uid", "did"),
+    "did-channel": ("did", "channel"),
+}
 COUNT_KEYS = ["uid", "did", "item_id", "author_id", "uid-author_id"]
 MEAN_KEYS = ["uid-author_id", "uid-did", "did-channel", "uid", "did", "item_id"]
 DISTINCT = {

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from ..operators.features import FeatureProcessor, FeatureSpec
 from ..operators.splits import draw, fraction_split
 
+# fixed values: the roles of the click log columns
 CLICK_FEATURES = dict(
     dense=["time", "duration_time"],
     sparse=[

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import micros
 from ..session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,14 +38,15 @@ def joined(items: Column | str) -> Column:
 def clicks(spark: SparkSession, folder: str) -> DataFrame:
     """`events` as a click log: one row per event, ordered by (us, event_id)."""
     kind = F.col("event_type")
-    return table(spark, folder, "events").select(
+    events = table(spark, folder, "events")
+    return events.select(
         "event_id",
         F.col("user_id").alias("uid"),
         F.get_json_object("props", "$.k").cast("long").alias("item_id"),
         kind.alias("channel"),
         kind.isin("click", "purchase").cast("int").alias("finish"),
         (kind == "purchase").cast("int").alias("liked"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
+        micros(events, "ts").alias("us"),
         F.col("value").alias("duration"),
     )
 
@@ -69,10 +71,10 @@ test AS (SELECT * FROM numbered WHERE rn > CAST(floor(n * 0.8) AS BIGINT))"""
 
 def wide(spark: SparkSession, folder: str) -> DataFrame:
     """`lineitem` with its order, customer and supplier as the 12-column click log."""
-    day = F.unix_micros(F.col("l_shipdate").cast("timestamp")) / 1_000_000
+    lines = table(spark, folder, "lineitem")
+    day = micros(lines, "l_shipdate") / 1_000_000
     return (
-        table(spark, folder, "lineitem")
-        .join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .select(

@@ -162,8 +162,8 @@ def b11(spark, d):
 @query(
     "b12_vector_columns",
     "SELECT vec_id, "
-    + ", ".join(f"round(CAST(embedding[{i + 1}] AS DOUBLE), 6) AS vd{i}" for i in range(64))
-    + ", round(CAST(embedding[1] AS DOUBLE), 6) AS back_first, len(embedding) AS back_size FROM embeddings",
+    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS vd{i}" for i in range(64))
+    + ", CAST(embedding[1] AS DOUBLE) AS back_first, len(embedding) AS back_size FROM embeddings",
 )
 def b12(spark, d):
     names = [f"vd{i}" for i in range(64)]
@@ -172,8 +172,8 @@ def b12(spark, d):
     back = F.array(*names)
     return named.select(
         "vec_id",
-        *[r6(c).alias(c) for c in names],
-        r6(F.get(back, 0)).alias("back_first"),
+        *names,
+        F.get(back, 0).alias("back_first"),
         F.size(back).cast("long").alias("back_size"),
     )
 

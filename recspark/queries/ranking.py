@@ -101,11 +101,14 @@ def _positions(spark, d):
 )
 def n4(spark, d):
     cells, _ = _positions(spark, d)
-    plain = embeddings.pooled(cells, ["event_id"]).withColumnRenamed("vector", "p")
-    masked = embeddings.pooled(cells.where("id != 0"), ["event_id"]).withColumnRenamed("vector", "m")
-    both = plain.join(masked, "event_id", "left")
-    names = [("p", 0, "plain_first"), ("p", 63, "plain_last"), ("m", 0, "masked_first"), ("m", 63, "masked_last")]
-    return both.select("event_id", *[r6(F.get(c, i)).alias(n) for c, i, n in names])
+    both = embeddings.pooled(cells, ["event_id"])
+    return both.select(
+        "event_id",
+        r6(F.get("mean", 0)).alias("plain_first"),
+        r6(F.get("mean", 63)).alias("plain_last"),
+        r6(F.get("masked_mean", 0)).alias("masked_first"),
+        r6(F.get("masked_mean", 63)).alias("masked_last"),
+    )
 
 
 @query(
@@ -133,7 +136,11 @@ def n5(spark, d):
     )
 
 
-@query("n6_factor_vectors")
+@query(
+    "n6_factor_vectors",
+    f"""WITH {CLICKS} SELECT DISTINCT 'user' AS side, CAST(uid AS INTEGER) AS id, 16 AS size FROM clicks
+    UNION ALL SELECT DISTINCT 'item', CAST(item_id AS INTEGER), 16 FROM clicks""",
+)
 def n6(spark, d):
     log = clicks(spark, d).select(
         F.col("uid").cast("int").alias("uid"), F.col("item_id").cast("int").alias("item_id"), F.lit(1).alias("w")
@@ -225,15 +232,14 @@ def d14(spark, d):
 @query(
     "c1_side_vector_join",
     f"""WITH {VECTORS}, {CLICKS} SELECT event_id, item_id, """
-    + ", ".join(f"round(coalesce(e[{i + 1}], 0), 6) AS vd{i}" for i in range(64))
+    + ", ".join(f"coalesce(e[{i + 1}], 0) AS vd{i}" for i in range(64))
     + " FROM clicks LEFT JOIN v ON vec_id - 420 = item_id",
 )
 def c1(spark, d):
     side = table(spark, d, "embeddings").select((F.col("vec_id") - 420).alias("item_id"), "embedding")
     side = profiling.first_per_key(side, ["item_id"], ["item_id"])
     log = clicks(spark, d).select("event_id", "item_id")
-    wide_rows = competition.with_vector(log, side, "embedding", "vd", 64)
-    return wide_rows.select("event_id", "item_id", *[r6(f"vd{i}").alias(f"vd{i}") for i in range(64)])
+    return competition.with_vector(log, side, "embedding", "vd", 64)
 
 
 @query(

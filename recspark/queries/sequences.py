@@ -253,12 +253,15 @@ def j3(spark, d):
     "j4_map_keys",
     f"""WITH {TURN}, keys AS (SELECT conv_id, turn, string_agg(word, ' ' ORDER BY word) AS words
       FROM counts GROUP BY 1, 2)
-    SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN words ELSE '' END AS words FROM keys""",
+    SELECT conv_id, turn, CASE WHEN role = 'user' THEN words ELSE '' END AS words
+    FROM keys JOIN conversations USING (conv_id, turn)""",
 )
 def j4(spark, d):
-    some = F.when(F.col("turn") % 2 == 0, F.col("title_features"))
+    some = F.when(F.col("role") == "user", F.col("title_features"))
     keys = F.array_sort(arrays.map_keys_or_empty(some))
-    return _turn_maps(spark, d).select("conv_id", "turn", arrays.join_list(keys, " ").alias("words"))
+    roles = table(spark, d, "conversations").select("conv_id", "turn", "role")
+    turns = _turn_maps(spark, d).join(roles, ["conv_id", "turn"])
+    return turns.select("conv_id", "turn", arrays.join_list(keys, " ").alias("words"))
 
 
 @query(

@@ -6,7 +6,7 @@ from ..functions import arrays, text
 from ..operators import embeddings, sequences
 from ..session import table
 from ..storage import materialize
-from .base import clicks, query, r6
+from .base import CLICKS, clicks, query, r6
 from .search import VECTORS
 
 LETTERS = "A-Za-z"
@@ -141,7 +141,11 @@ def i6(spark, d):
     return rows.select(*KEY, "pos", r6(first).alias("first"), r6(last).alias("last"))
 
 
-@query("i1_word2vec")
+# the vectors come from training; which words get one, and of what size, SQL can say
+@query(
+    "i1_word2vec",
+    "SELECT DISTINCT unnest(string_split(text, ' ')) AS token, 100 AS size FROM conversations",
+)
 def i1(spark, d):
     talks = table(spark, d, "conversations").select(F.split("text", " ").alias("words"))
     vectors = embeddings.train_vectors(talks, "words", size=100, window=3, min_count=1, partitions=4)
@@ -183,7 +187,10 @@ def i3(spark, d):
     return near.select("token", r6("similarity").alias("similarity"))
 
 
-@query("i7_item_vectors_from_histories")
+@query(
+    "i7_item_vectors_from_histories",
+    f"""WITH {CLICKS} SELECT item_id, 32 AS size FROM clicks GROUP BY 1 HAVING count(*) >= 5""",
+)
 def i7(spark, d):
     lists = sequences.user_items(clicks(spark, d), "uid", "item_id", ["us", "event_id"])
     sentences = lists.select(F.col("items").cast("array<string>").alias("items"))
