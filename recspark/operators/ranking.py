@@ -70,7 +70,7 @@ def factor_vectors(
 ) -> tuple[DataFrame, DataFrame]:
     """One vector per user and per item, by alternating least squares on implicit feedback."""
     counted = df.groupBy(user, item).agg(F.sum(rating).cast("float").alias(rating))
-    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(10, df.sparkSession.sparkContext.defaultParallelism)
     model = ALS(
         userCol=user,
         itemCol=item,
