@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,18 +63,24 @@ def row_at(
     df: DataFrame,
     order: str,
     tie: str,
-    place: int,
+    place_of: Callable[[int], int],
     bins: int = 1024,
     small: int = 100_000,
-) -> tuple[int, int]:
-    """`(order, tie)` of the row at 0-based `place`; both columns are whole numbers.
+) -> tuple[int, int] | None:
+    """`(order, tie)` of the row at a 0-based place; both columns are whole numbers.
 
+    `place_of` gives the place from the number of rows; below 0 there is no such row.
     Each pass counts the rows in `bins` equal slices of the remaining value range and
     keeps the slice that holds the place, until few rows are left. Only the counts and
     the single row found come to the driver.
     """
+    place = None
     for column in (order, tie):
         low, high, rows = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
+        if place is None:
+            place = place_of(rows)
+            if place < 0:
+                return None
         while low < high and rows > small:
             step = (high - low) // bins + 1
             slices = (

@@ -8,7 +8,7 @@ blocks, so its size does not matter.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -22,7 +22,7 @@ from ..storage import materialize
 
 BLOCK = 65_536  # vectors of one side in one cell
 SMALL_BLOCK = 1_024  # not worth splitting further
-STRIP = 256  # queries scored at a time inside a cell
+STRIP = 64  # queries scored at a time inside a cell
 MAX_LISTS = 65_536  # centroids are sent to all tasks, so their number is bounded
 _PLACES = 9  # scores equal to this many decimals are ties, broken by item id
 
@@ -38,37 +38,36 @@ def _minus_l2(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return -np.maximum(squares, 0.0)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Per row the columns of the k best scores, ties by id; `ids` are ascending."""
-    scores = np.round(scores, _PLACES)
-    if scores.shape[1] > k:
-        cut = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-    else:
-        cut = scores.min(axis=1, keepdims=True)
-    for row, kept in enumerate(scores >= cut):
-        columns = np.flatnonzero(kept)
-        order = np.argsort(-scores[row, columns], kind="stable")[:k]
-        yield row, columns[order]
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k best scores of each row; of equal ones the first columns."""
+    rows, columns = scores.shape
+    k = min(k, columns)
+    cut = np.partition(scores, columns - k, axis=1)[:, columns - k, None]
+    above_row, above = np.nonzero(scores > cut)
+    equal_row, equal = np.nonzero(scores == cut)
+    wanted = k - np.bincount(above_row, minlength=rows)
+    first = np.searchsorted(equal_row, np.arange(rows))
+    kept = np.arange(len(equal_row)) - first[equal_row] < wanted[equal_row]
+    return np.concatenate([above_row, equal_row[kept]]), np.concatenate([above, equal[kept]])
 
 
 def _cell(k: int, scores_of: Scores, sign: float):
     def run(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "item_id": [], "score": []}
+        parts = []
         if len(queries) and len(items):
-            items = items.sort_values("item_id")
+            items = items.sort_values("item_id")  # ties go to the least id
             ids = items["item_id"].to_numpy()
             v = np.stack(items["item_vec"].to_numpy()).astype(np.float64)
             q = np.stack(queries["query_vec"].to_numpy()).astype(np.float64)
             names = queries["query_id"].to_numpy()
             for start in range(0, len(q), STRIP):
                 scores = scores_of(q[start : start + STRIP], v)
-                for row, columns in _best(scores, ids, k):
-                    out["query_id"].append(np.repeat(names[start + row], len(columns)))
-                    out["item_id"].append(ids[columns])
-                    out["score"].append(sign * scores[row, columns])
-        if not out["query_id"]:
-            return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-        return pd.DataFrame({c: np.concatenate(parts) for c, parts in out.items()})
+                row, column = _best(np.round(scores, _PLACES), k)
+                parts.append((names[start + row], ids[column], sign * scores[row, column]))
+        columns = ("query_id", "item_id", "score")
+        if not parts:
+            return pd.DataFrame({c: [] for c in columns})
+        return pd.DataFrame({c: np.concatenate(p) for c, p in zip(columns, zip(*parts))})
 
     return run
 
@@ -96,6 +95,9 @@ def _with_block_counts(q: DataFrame, v: DataFrame, block: int) -> tuple[DataFram
         number = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int")
         return side.groupBy("cluster").agg(number.alias(f"{name}_blocks"))
 
+    # only the probed lists are read, as whole folders; there are at most MAX_LISTS names
+    probed = [r.cluster for r in q.select("cluster").distinct().collect()]
+    v = v.where(F.col("cluster").isin(probed))
     sizes = F.broadcast(blocks(q, "query").join(blocks(v, "item"), "cluster"))
     return q.join(sizes, "cluster"), v.join(sizes, "cluster")
 
@@ -212,6 +214,7 @@ def build_lists(items: DataFrame, item_id: str, item_vec: str, centroids: DataFr
     v = items.select(
         F.col(item_id).alias("item_id"), F.col(item_vec).cast("array<double>").alias("item_vec")
     )
+    v = v.where("item_vec IS NOT NULL")
     nearest = F.get(nearest_clusters(v, "item_vec", centroids, 1), 0)
     return materialize(v.withColumn("cluster", nearest), "lists", partition_by=["cluster"])
 
@@ -221,6 +224,7 @@ def probe(queries: DataFrame, query_id: str, query_vec: str, centroids: DataFram
     q = queries.select(
         F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("query_vec")
     )
+    q = q.where("query_vec IS NOT NULL")
     clusters = nearest_clusters(q, "query_vec", centroids, probes)
     return materialize(q.withColumn("cluster", F.explode(clusters)), "probes")
 

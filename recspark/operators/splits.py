@@ -38,10 +38,10 @@ def ordered_split(
 
     The boundary row is found from counts per value slice; nothing is sorted or shuffled.
     """
-    first = int(df.count() * (1 - held_out))
-    if first == 0:
+    found = row_at(df, order, tie, lambda rows: int(rows * (1 - held_out)) - 1)
+    if found is None:
         return df.limit(0), df
-    at, id_at = row_at(df, order, tie, first - 1)
+    at, id_at = found
     early = (F.col(order) < at) | ((F.col(order) == at) & (F.col(tie) <= id_at))
     return df.where(early), df.where(~early)
 
