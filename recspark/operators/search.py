@@ -17,13 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import l2_normalize
 from ..storage import materialize
 
 BLOCK = 65_536  # vectors of one side in one cell
 SMALL_BLOCK = 1_024  # not worth splitting further
 STRIP = 64  # queries scored at a time inside a cell
 MAX_LISTS = 65_536  # centroids are sent to all tasks, so their number is bounded
+_GROUP = 64  # columns whose best score stands for them
 _PLACES = 9  # scores equal to this many decimals are ties, broken by item id
 
 Scores = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -34,35 +34,54 @@ def _inner(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def _minus_l2(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    squares = (q * q).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2 * (q @ v.T)
-    return -np.maximum(squares, 0.0)
+    scores = q @ v.T
+    scores *= 2
+    scores -= (v * v).sum(1)
+    scores -= (q * q).sum(1)[:, None]
+    return np.minimum(scores, 0.0, out=scores)
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of the k best scores of each row; of equal ones the first columns."""
-    rows, columns = scores.shape
-    k = min(k, columns)
-    cut = np.partition(scores, columns - k, axis=1)[:, columns - k, None]
-    above_row, above = np.nonzero(scores > cut)
-    equal_row, equal = np.nonzero(scores == cut)
-    wanted = k - np.bincount(above_row, minlength=rows)
-    first = np.searchsorted(equal_row, np.arange(rows))
-    kept = np.arange(len(equal_row)) - first[equal_row] < wanted[equal_row]
-    return np.concatenate([above_row, equal_row[kept]]), np.concatenate([above, equal[kept]])
-
+    """Rows and columns of the k best rounded scores of each row, ties by column.
 
-def _cell(k: int, scores_of: Scores, sign: float):
+    The k-th best of the maxima of groups of columns bounds the k-th best score from
+    below, so few scores are left to be ranked.
+    """
+    rows, columns = scores.shape
+    whole = columns // _GROUP
+    if whole >= k:
+        bounds = scores[:, : whole * _GROUP].reshape(rows, whole, _GROUP).max(axis=2)
+    else:
+        bounds = scores
+    best = min(k, columns)
+    least = np.partition(bounds, bounds.shape[1] - best, axis=1)[:, bounds.shape[1] - best, None]
+    row, column = np.nonzero(scores >= least - 10.0**-_PLACES)
+    order = np.lexsort((column, -np.round(scores[row, column], _PLACES), row))
+    row, column = row[order], column[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, np.arange(rows))[row] < k
+    return row[kept], column[kept]
+
+
+def _stacked(side: pd.DataFrame, name: str, unit: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of one side; with `unit` normalised and without zero vectors."""
+    ids = side[f"{name}_id"].to_numpy()
+    vectors = np.stack(side[f"{name}_vec"].to_numpy()).astype(np.float64)
+    if unit:
+        norms = np.sqrt((vectors * vectors).sum(1))
+        ids, vectors = ids[norms > 0], vectors[norms > 0] / norms[norms > 0, None]
+    return ids, vectors
+
+
+def _cell(k: int, scores_of: Scores, sign: float, unit: bool = False):
     def run(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(queries) and len(items):
-            items = items.sort_values("item_id")  # ties go to the least id
-            ids = items["item_id"].to_numpy()
-            v = np.stack(items["item_vec"].to_numpy()).astype(np.float64)
-            q = np.stack(queries["query_vec"].to_numpy()).astype(np.float64)
-            names = queries["query_id"].to_numpy()
-            for start in range(0, len(q), STRIP):
+            # ties go to the least id
+            ids, v = _stacked(items.sort_values("item_id"), "item", unit)
+            names, q = _stacked(queries, "query", unit)
+            for start in range(0, len(q) if len(v) else 0, STRIP):
                 scores = scores_of(q[start : start + STRIP], v)
-                row, column = _best(np.round(scores, _PLACES), k)
+                row, column = _best(scores, k)
                 parts.append((names[start + row], ids[column], sign * scores[row, column]))
         columns = ("query_id", "item_id", "score")
         if not parts:
@@ -110,11 +129,9 @@ def _ranked(scored: DataFrame, k: int, ascending: bool) -> DataFrame:
     return ranked.where(F.col("place") <= k)
 
 
-def _sides(queries, query_id, query_vec, items, item_id, item_vec, unit: bool):
-    prepare = l2_normalize if unit else (lambda v: v.cast("array<double>"))
-    q = queries.select(F.col(query_id).alias("query_id"), prepare(F.col(query_vec)).alias("query_vec"))
-    v = items.select(F.col(item_id).alias("item_id"), prepare(F.col(item_vec)).alias("item_vec"))
-    return q.where("query_vec IS NOT NULL"), v.where("item_vec IS NOT NULL")
+def _side(df: DataFrame, name: str, key: str, vec: str) -> DataFrame:
+    chosen = df.select(F.col(key).alias(f"{name}_id"), F.col(vec).alias(f"{name}_vec"))
+    return chosen.where(F.col(f"{name}_vec").isNotNull())
 
 
 def _out_schema(queries: DataFrame, items: DataFrame) -> str:
@@ -139,24 +156,30 @@ def exact_topk(
     `metric` is `cosine` (both sides normalised, zero vectors match nothing), `inner`
     or `l2` (squared distance, ascending). With fewer than k items fewer rows come back.
     """
-    q, v = _sides(queries, query_id, query_vec, items, item_id, item_vec, metric == "cosine")
+    q = _side(queries, "query", query_id, query_vec)
+    v = _side(items, "item", item_id, item_vec)
     # counts of whole tables come from the file footers
     rows, others = queries.count(), items.count()
     query_blocks, item_blocks = max(1, -(-rows // block)), max(1, -(-others // block))
-    tasks = queries.sparkSession.sparkContext.defaultParallelism
-    while query_blocks * item_blocks < tasks and rows > 2 * SMALL_BLOCK * query_blocks:
-        query_blocks *= 2  # smaller query blocks keep all cores busy
+    # smaller blocks keep all cores busy; split the side that repeats fewer vectors
+    cells = 4 * queries.sparkSession.sparkContext.defaultParallelism
+    while query_blocks * item_blocks < cells and rows > 2 * SMALL_BLOCK * query_blocks:
+        if others * query_blocks <= rows * item_blocks or others < 2 * SMALL_BLOCK * item_blocks:
+            query_blocks *= 2
+        else:
+            item_blocks *= 2
     blocks = [
         F.lit(0).alias("cluster"),
         F.lit(query_blocks).alias("query_blocks"),
         F.lit(item_blocks).alias("item_blocks"),
     ]
-    return _search(q.select("*", *blocks), v.select("*", *blocks), k, metric == "l2")
+    return _search(q.select("*", *blocks), v.select("*", *blocks), k, metric)
 
 
-def _search(q: DataFrame, v: DataFrame, k: int, l2: bool) -> DataFrame:
+def _search(q: DataFrame, v: DataFrame, k: int, metric: str) -> DataFrame:
     left, right = _cells(q, v)
-    cell = _cell(k, _minus_l2 if l2 else _inner, -1.0 if l2 else 1.0)
+    l2 = metric == "l2"
+    cell = _cell(k, _minus_l2 if l2 else _inner, -1.0 if l2 else 1.0, metric == "cosine")
     scored = left.cogroup(right).applyInPandas(cell, _out_schema(q, v))
     return _ranked(scored, k, ascending=l2)
 
@@ -241,7 +264,7 @@ def list_topk(
 ) -> DataFrame:
     """Squared-distance top-k among the items of the probed lists; all lists give exact search."""
     probed = probe(queries, query_id, query_vec, centroids, probes)
-    return _search(*_with_block_counts(probed, lists, block), k, l2=True)
+    return _search(*_with_block_counts(probed, lists, block), k, "l2")
 
 
 def split_vector(vec: Column, parts: int, size: int) -> list[Column]:

@@ -103,6 +103,64 @@ def key_profile(df: DataFrame, on: Sequence[str], order: str, *extra: Column) ->
     )
 
 
+_ROUNDS = 6  # of splitting blocks that are still large; the sums are exact in any case
+
+
+def _ordered_blocks(
+    df: DataFrame, hot: DataFrame, on: list[str], order_by: list[str], rows_per_task: int
+) -> DataFrame:
+    """Add `_path`: blocks of the rows of hot keys, whose order agrees with `order_by`.
+
+    `hot` has `n`, `lo`, `hi` of the first order column. A block that is still large is
+    split again, along the first order column that varies inside it, so a key whose rows
+    crowd at one time is split by the next column. Other rows have a NULL path.
+    """
+    places = [order_number(df, c) for c in order_by if _has_number(df, c)]
+    heavy = hot.select(
+        *on,
+        F.array().cast("array<int>").alias("_path"),
+        F.lit(0).alias("_by"),
+        F.col("lo").cast("double").alias("_lo"),
+        F.col("hi").cast("double").alias("_hi"),
+        F.col("n").alias("_rows"),
+    )
+    marked = hot.select(*on, F.array().cast("array<int>").alias("_path"))
+    cut = df.join(F.broadcast(marked), on, "left")
+    for _ in range(_ROUNDS):
+        blocks = F.ceil(4 * F.col("_rows") / F.lit(rows_per_task)).cast("int")
+        place = F.coalesce(*[F.when(F.col("_by") == i, p) for i, p in enumerate(places)])
+        share = F.try_divide(place - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+        block = F.least(F.floor(share * blocks), blocks - 1).cast("int")
+        split = cut.join(F.broadcast(heavy), [*on, "_path"], "left")
+        path = F.concat("_path", F.array(F.coalesce(block, F.lit(0))))
+        cut = split.withColumn("_path", path).select(*df.columns, "_path")
+        lows = F.array(*[F.min(p.cast("double")) for p in places]).alias("_lows")
+        highs = F.array(*[F.max(p.cast("double")) for p in places]).alias("_highs")
+        sizes = cut.where(F.col("_path").isNotNull()).groupBy(*on, "_path")
+        sizes = sizes.agg(F.count(F.lit(1)).alias("_rows"), lows, highs)
+        varies = F.zip_with("_lows", "_highs", lambda low, high: low < high)
+        large = sizes.where(F.col("_rows") > rows_per_task).select(
+            *on,
+            "_path",
+            (F.array_position(varies, True) - 1).cast("int").alias("_by"),
+            "_lows",
+            "_highs",
+            "_rows",
+        )
+        split_by = [F.get("_lows", "_by").alias("_lo"), F.get("_highs", "_by").alias("_hi")]
+        heavy = materialize(
+            large.where("_by >= 0").select(*on, "_path", "_by", *split_by, "_rows"), "blocks"
+        )
+        if heavy.isEmpty():
+            break
+    return cut
+
+
+def _has_number(df: DataFrame, name: str) -> bool:
+    kinds = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
+    return isinstance(df.schema[name].dataType, kinds)
+
+
 def running_sums(
     df: DataFrame,
     profile: DataFrame,
@@ -113,39 +171,34 @@ def running_sums(
 ) -> DataFrame:
     """Sums over the earlier rows of the same key, in the order of `order_by`.
 
-    `profile` is a written `key_profile` of `df`. A hot key is cut into blocks along
-    its own order range; each block is one window group, and the sums of the blocks
-    before it (a broadcast table of at most 4 * rows / rows_per_task rows) are added.
+    `profile` is a written `key_profile` of `df`. A hot key is cut into blocks along its
+    own order; each block is one window group, and the sums of the blocks before it are
+    added. Each round of splitting makes at most about 4 * rows / rows_per_task blocks,
+    so their totals may be broadcast.
     """
     on, order_by = list(on), list(order_by)
-    blocks = F.ceil(4 * F.col("n") / F.lit(rows_per_task)).cast("int")
-    hot = profile.where(F.col("n") > rows_per_task).select(
-        *on, F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), blocks.alias("_blocks")
-    )
+    hot = profile.where(F.col("n") > rows_per_task).select(*on, "n", "lo", "hi")
     earlier = Window.partitionBy(*on).orderBy(*order_by)
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     if hot.isEmpty():
         return df.select(
             "*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(k) for k, c in sums.items()]
         )
-    width = F.col("_hi") - F.col("_lo") + 1
-    place = order_number(df, order_by[0])
-    block = F.coalesce(F.floor((place - F.col("_lo")) / width * F.col("_blocks")), F.lit(0))
-    cut = df.join(F.broadcast(hot), on, "left").withColumn("_block", block.cast("int"))
+    cut = _ordered_blocks(df, hot, on, order_by, rows_per_task)
     totals = (
-        cut.where(F.col("_blocks").isNotNull())
-        .groupBy(*on, "_block")
+        cut.where(F.col("_path").isNotNull())
+        .groupBy(*on, "_path")
         .agg(*[F.sum(c).alias(f"_t_{k}") for k, c in sums.items()])
     )
-    before = Window.partitionBy(*on).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*on).orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *on, "_block", *[F.sum(f"_t_{k}").over(before).alias(f"_o_{k}") for k in sums]
+        *on, "_path", *[F.sum(f"_t_{k}").over(before).alias(f"_o_{k}") for k in sums]
     )
-    inside = Window.partitionBy(*on, "_block").orderBy(*order_by)
+    inside = Window.partitionBy(*on, "_path").orderBy(*order_by)
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    joined = cut.join(F.broadcast(offsets), [*on, "_block"], "left")
+    joined = cut.join(F.broadcast(offsets), [*on, "_path"], "left")
     return joined.select(
-        *[F.col(c) for c in df.columns],
+        *df.columns,
         *[
             (
                 F.coalesce(F.sum(c).over(inside), F.lit(0))

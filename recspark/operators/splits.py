@@ -58,9 +58,9 @@ def stratified_folds(
 ) -> DataFrame:
     """Add a fold id; within each label the folds differ by at most one row.
 
-    Rows are placed by `number` in [0, size), then `key`. There are few labels, so the
+    Rows are placed by `number` in [0, size), then `key`. There may be few labels, so the
     number range is cut into blocks: a window per (label, block), plus the rows of the
-    label in the blocks before, a table of labels x blocks rows.
+    label in the blocks before.
     """
     blocks = max(1, math.ceil(df.count() / rows_per_task))
     cut = df.withColumn("_draw", number)
@@ -72,7 +72,8 @@ def stratified_folds(
         label, "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
     place = F.row_number().over(Window.partitionBy(label, "_block").orderBy("_draw", key)) - 1
-    placed = cut.withColumn("_place", place).join(F.broadcast(offsets), [label, "_block"])
+    # the join finds both sides laid out by (label, block) already
+    placed = cut.withColumn("_place", place).join(offsets, [label, "_block"])
     fold = ((F.col("_before") + F.col("_place")) % folds).cast("int").alias(name)
     return placed.select(*df.columns, fold)
 

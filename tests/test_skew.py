@@ -63,6 +63,26 @@ def test_running_sums_in_blocks(log):
     assert sorted(rows_of(blocked, *columns)) == want
 
 
+@pytest.mark.parametrize("crowd", ["same time", "few times", "far away"])
+def test_running_sums_when_rows_crowd(spark, crowd):
+    times = {"same time": lambda i: 5, "few times": lambda i: i % 3, "far away": lambda i: 10**12 if i == 0 else i % 40}
+    rows = [("hot" if i % 2 else f"k{i % 7}", times[crowd](i), 900 - i, i % 5) for i in range(900)]
+    df = spark.createDataFrame(rows, "key string, ts long, id long, y int")
+    profile = key_profile(df, ["key"], "ts")
+    blocked = running_sums(df, profile, ["key"], ["ts", "id"], {"s": F.col("y")}, HOT)
+    plain = running_sums(df, profile, ["key"], ["ts", "id"], {"s": F.col("y")})
+    assert rows_of(blocked, "id", "s") == rows_of(plain, "id", "s")
+
+
+def test_crowded_rows_are_split_by_the_next_column(spark):
+    from recspark.operators.skew import _ordered_blocks
+
+    df = spark.createDataFrame([("hot", 5, i) for i in range(1000)], "key string, ts long, id long")
+    hot = key_profile(df, ["key"], "ts")
+    sizes = _ordered_blocks(df, hot, ["key"], ["ts", "id"], 100).groupBy("_path").count().collect()
+    assert max(r["count"] for r in sizes) <= 100
+
+
 def test_target_encodings_split_equals_plain(log):
     fitted = target.fit_target(log, ["key", "item"], "y", order="ts")
     folded = log.withColumn("fold", (F.col("id") % 5).cast("int"))
