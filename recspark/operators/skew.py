@@ -17,6 +17,8 @@ from ..functions.times import micros
 from ..storage import materialize
 
 ROWS_PER_TASK = 4_000_000
+SMALL_ROWS = 20_000
+SMALL_BYTES = 32 << 20
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -33,16 +35,18 @@ def attach(
 ) -> DataFrame:
     """Join `df` to a fitted table with unique keys; the rows of a hot key are split.
 
-    Without hot keys this is a plain equi-join, broadcast by Catalyst when the
-    written table is small. With hot keys the fact rows of such a key are spread
-    over `ceil(n / rows_per_task)` salts and the one table row is repeated as often.
-    The salt is a hash of the row, so a re-run task yields the same salts.
+    Without hot keys this is a plain equi-join, broadcast by Catalyst when the written
+    table is small. With hot keys a table that proves small is broadcast; else the rows of
+    a hot key are spread over `ceil(n / rows_per_task)` salts and its one table row is
+    repeated as often. The salt is a hash of the row, so a re-run task yields the same.
     """
     on = list(on)
     splits = F.ceil(F.col(n) / F.lit(rows_per_task)).cast("int")
     hot = table.where(F.col(n) > rows_per_task).select(*on, splits.alias("_splits"))
     if hot.isEmpty():
         return df.join(table.drop(n), on, how)
+    if is_small(table):
+        return df.join(F.broadcast(table.drop(n)), on, how)
     row = F.xxhash64(*_hashable(df))
     unknown = F.lit(False)
     for key in on:
@@ -57,11 +61,11 @@ def attach(
     return left.join(right, [*on, "_salt"], how).drop("_salt", "_splits")
 
 
-def is_small(df: DataFrame, rows: int = 20_000, size: int = 32 << 20) -> bool:
+def is_small(df: DataFrame) -> bool:
     """Whether a table may be broadcast: few rows, and few bytes when written as JSON."""
     written = F.length(F.to_json(F.struct("*")))
-    found = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(written)).first()
-    return found[0] <= rows and (found[1] or 0) <= size
+    rows, size = df.limit(SMALL_ROWS + 1).agg(F.count(F.lit(1)), F.sum(written)).first()
+    return rows <= SMALL_ROWS and (size or 0) <= SMALL_BYTES
 
 
 def attach_side(
