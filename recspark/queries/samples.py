@@ -132,7 +132,15 @@ def sql_draw(place, repeat):
 
 
 NEGATIVES = 3
-MIN_COUNT = 95
+MIN_COUNT = "(SELECT count(*) // count(DISTINCT item_id) FROM clicks)"
+
+
+def min_count(log):
+    """An item is popular with more rows than items have on average."""
+    rows, items = log.agg(F.count(F.lit(1)), F.count_distinct("item_id")).first()
+    return rows // items
+
+
 SAMPLES = f"""{HISTORY}, sized AS (SELECT *, count(*) OVER (PARTITION BY uid) AS events FROM histories),
   used AS (SELECT *, CASE WHEN place = events - 1 THEN 'test' ELSE 'train' END AS split
     FROM sized WHERE place >= 1),
@@ -154,8 +162,9 @@ SAMPLES = f"""{HISTORY}, sized AS (SELECT *, count(*) OVER (PARTITION BY uid) AS
     CAST(hist_len AS INTEGER) AS hist_len, split FROM samples""",
 )
 def l6(spark, d):
+    log = _log(spark, d)
     rows = samples.training_samples(
-        _log(spark, d), "uid", "item_id", ORDER, MIN_COUNT, NEGATIVES, sql_draw
+        log, "uid", "item_id", ORDER, min_count(log), NEGATIVES, sql_draw
     )
     return rows.withColumn("history", joined("history"))
 
@@ -187,7 +196,7 @@ def l8(spark, d):
         ORDER,
         ["user_channel"],
         ["item_channel", "item_duration"],
-        MIN_COUNT,
+        min_count(log),
         NEGATIVES,
         draw=sql_draw,
     )
@@ -220,7 +229,8 @@ def c4(spark, d):
     SELECT uid, CAST(place AS INTEGER) AS place, item_id FROM ranked WHERE place < 10""",
 )
 def c6(spark, d):
-    return samples.top_unseen(_log(spark, d), "uid", "item_id", ORDER, MIN_COUNT, 10)
+    log = _log(spark, d)
+    return samples.top_unseen(log, "uid", "item_id", ORDER, min_count(log), 10)
 
 
 @query(
