@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import quality
+from . import decontamination, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +29,18 @@ def op3_quality_classifier(spark, folder):
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_benchmark_decontamination(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.with_matches(docs, table(spark, folder, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
