@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, quality
+from . import decontamination, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,9 @@ def op8_benchmark_decontamination(spark, folder):
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op6_packing(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
