@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, packing, quality
+from . import decontamination, line_runs, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,36 @@ def op8_benchmark_decontamination(spark, folder):
 def op6_packing(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_line_runs(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_runs.without_repeats(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+_LINE_WINDOWS = """split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS n FROM {documents} WHERE length(text) > 0),
+  counted AS (SELECT *, len(regexp_extract_all(line, '\\S+')) AS words FROM split),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i FROM counted WHERE words > 0),
+  ahead AS (SELECT *, lead(line, 1) OVER d AS l2, lead(line, 2) OVER d AS l3, lead(words, 1) OVER d AS w2
+    FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY n)),
+  copies AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, n) AS c1,
+    row_number() OVER (PARTITION BY line, l2 ORDER BY doc_id, n) AS c2,
+    row_number() OVER (PARTITION BY line, l2, l3 ORDER BY doc_id, n) AS c3 FROM ahead),
+  deep AS (SELECT *, CASE WHEN l3 IS NOT NULL AND c3 > 1 THEN 3
+    WHEN l2 IS NOT NULL AND c2 > 1 AND words + w2 >= 8 THEN 2
+    WHEN c1 > 1 AND words >= 8 THEN 1 ELSE 0 END AS depth FROM copies),
+  judged AS (SELECT *, depth > 0 OR coalesce(lag(depth, 1) OVER e, 0) > 1
+    OR coalesce(lag(depth, 2) OVER e, 0) > 2 AS gone
+    FROM deep WINDOW e AS (PARTITION BY doc_id ORDER BY n)),
+  lines AS (SELECT s.doc_id, s.n, s.line, coalesce(j.gone, false) AS gone
+    FROM split s LEFT JOIN judged j ON s.doc_id = j.doc_id AND s.n = j.n),
+  cleaned AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS kept FROM lines GROUP BY doc_id)"""
+
+ORACLES["op5_line_runs"] = (
+    "WITH " + _LINE_WINDOWS.format(documents="documents")
+    + """ SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed,
+  sha256(coalesce(c.kept, d.text)) AS kept_sha256 FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id"""
+)
