@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, line_runs, packing, quality
+from . import decontamination, jaccard, line_runs, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,8 @@ ORACLES["op5_line_runs"] = (
     + """ SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed,
   sha256(coalesce(c.kept, d.text)) AS kept_sha256 FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id"""
 )
+
+
+@query
+def op10_jaccard_join(spark, folder):
+    return jaccard.link_components(table(spark, folder, "documents"))
