@@ -32,6 +32,7 @@ from .bytesarrays import LOWER, flat, mix, prefix_hashes, runs, slices, span_has
 from .suffixes import search, suffix_order
 
 WINDOW = 10
+SHARD = 4 << 20  # bytes of text per suffix array
 _GRAM = 3  # words by which a training suffix is admitted to the array
 _WORD = np.zeros(256, bool)
 _WORD[ord("0") : ord("9") + 1] = _WORD[ord("a") : ord("z") + 1] = _WORD[0x80:] = True
@@ -152,7 +153,7 @@ def shard_matches(data: np.ndarray, starts: np.ndarray, tests: Suffixes):
 def _find(texts: pa.Array, tests: Suffixes) -> pa.Array:
     data, starts = flat(texts)
     counts, parts, per_text = [], [], []
-    for first, last in slices(starts):
+    for first, last in slices(starts, SHARD):
         own = data[starts[first] : starts[last]]
         n, columns = shard_matches(own, starts[first : last + 1] - starts[first], tests)
         counts.append(n)

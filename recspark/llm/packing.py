@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from ..operators.skew import is_small
 from ..storage import materialize
 from .tokens import encoder, with_end
 
@@ -258,7 +259,9 @@ def pack(docs: DataFrame, tokenizer: str, limit: int = LIMIT, gap: int = GAP) ->
             out.append(rows)
         return pa.array(out, pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "length", "ids_crc32", "skipped", "offset")])))
 
-    cut = ranks.where(F.size("inner") > 0).select("part", "rest", "local", "first", "at", "cuts")
+    # usually few packs are cut; their rests then find their ids without moving the others
+    cut = materialize(ranks.where(F.size("inner") > 0).select("part", "rest", "local", "first", "at", "cuts"), "cut")
+    cut = F.broadcast(cut) if is_small(cut) else cut
     cut = (
         encoded.select("doc_id", "doc_tokens", "part", "rest", "local", "rest_ids")
         .join(cut, ["part", "rest", "local"])

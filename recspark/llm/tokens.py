@@ -18,7 +18,7 @@ import pyarrow as pa
 from .bytesarrays import LOWER, flat, prefix_hashes, slices, span_hashes, within
 
 END = 1
-KEPT = 3_000_000
+KEPT = 2_000_000
 _SLOT_BITS = 21
 _JOINED = 128  # pieces per call of the tokenizer
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
