@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, jaccard, line_runs, packing, quality
+from . import decontamination, jaccard, line_runs, packing, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,11 @@ ORACLES["op5_line_runs"] = (
 @query
 def op10_jaccard_join(spark, folder):
     return jaccard.link_components(table(spark, folder, "documents"))
+
+
+@query
+def op4_token_files(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    files = token_files.write(docs, public_tokenizers.path("word_bpe_49k.json"), vocabulary=49_408)
+    read = files.checksums(files.lookup(files.keys))
+    return read.select("doc_id", "start", F.col("length").alias("n_tokens"), "ids_crc32")
