@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, jaccard, line_runs, packing, quality, token_files
+from . import decontamination, jaccard, line_runs, packing, quality, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,9 @@ def op4_token_files(spark, folder):
     files = token_files.write(docs, public_tokenizers.path("word_bpe_49k.json"), vocabulary=49_408)
     read = files.checksums(files.lookup(files.keys))
     return read.select("doc_id", "start", F.col("length").alias("n_tokens"), "ids_crc32")
+
+
+@query
+def op2_url_filter(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return url_filter.judge(pages, block=["net/", "example.com/de/"], allow=["example.net/en/", "org/fr/"])
