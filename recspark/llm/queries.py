@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, jaccard, line_runs, packing, quality, token_files, url_filter
+from . import decontamination, jaccard, line_runs, packing, quality, resharding, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,21 @@ def op4_token_files(spark, folder):
 def op2_url_filter(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return url_filter.judge(pages, block=["net/", "example.com/de/"], allow=["example.net/en/", "org/fr/"])
+
+
+@query
+def op9_flow_resharding(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # the layout to leave: 32 shards by a hash of doc_id
+    placed, _ = resharding.reshard(docs, F.pmod(F.xxhash64("doc_id"), F.lit(32)), 32, 40)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "moved",
+    )
