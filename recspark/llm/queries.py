@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, jaccard, line_runs, packing, quality, resharding, token_files, url_filter
+from . import decontamination, jaccard, line_runs, packing, permutation_index, quality, resharding, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +121,9 @@ def op9_flow_resharding(spark, folder):
         F.lit(None).cast("int").alias("grown_shard"),
         "moved",
     )
+
+
+@query
+def op1_permutation_index(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return permutation_index.search(vectors, F.col("vec_id") % 50 == 0, k=5)
