@@ -18,8 +18,8 @@ import pyarrow as pa
 from .bytesarrays import LOWER, flat, prefix_hashes, slices, span_hashes, within
 
 END = 1
-KEPT = 2_000_000
-_SLOT_BITS = 21
+KEPT = 800_000
+_SLOT_BITS = 20
 _JOINED = 128  # pieces per call of the tokenizer
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
@@ -43,8 +43,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # sorted
-        self.entry = np.zeros(0, np.int64)
-        self.first = np.zeros(1, np.int64)  # of each entry in `ids`
+        self.entry = np.zeros(0, np.int32)
+        self.first = np.zeros(1, np.int32)  # of each entry in `ids`
         self.ids = np.zeros(0, np.uint16)
         self.slot_hash = np.zeros(1 << _SLOT_BITS, np.uint64)  # the latest piece of each slot
         self.slot_entry = np.zeros(1 << _SLOT_BITS, np.int32)
@@ -83,8 +83,8 @@ class Encoder:
         if new.any():
             pieces = [raw[a:b] for a, b in zip(example[new].tolist(), last[new].tolist())]
             ids, size = self._encode(pieces)
-            entry = np.arange(len(pieces)) + len(self.first) - 1
-            self.first = np.concatenate((self.first, np.cumsum(size) + self.first[-1]))
+            entry = np.arange(len(pieces), dtype=np.int32) + np.int32(len(self.first) - 1)
+            self.first = np.concatenate((self.first, (np.cumsum(size) + self.first[-1]).astype(np.int32)))
             self.ids = np.concatenate((self.ids, ids))
             at = np.searchsorted(self.hashes, hashes[new])
             self.hashes = np.insert(self.hashes, at, hashes[new])
@@ -121,8 +121,9 @@ class Encoder:
             self.slot_hash[slot[spots]] = 0
             self.slot_entry[slot[spots]] = got
             self.slot_hash[slot[spots]] = distinct
-        sizes = self.first[entry + 1] - self.first[entry]
-        ids = self.ids[within(self.first[entry], sizes)]
+        begin = self.first[entry].astype(np.int64)
+        sizes = self.first[entry + 1] - begin
+        ids = self.ids[within(begin, sizes)]
         return ids, np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(first, starts)]
 
     def texts(self, column: pa.Array):
