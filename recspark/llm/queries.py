@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, jaccard, line_runs, packing, permutation_index, quality, resharding, token_files, url_filter
+from . import decontamination, jaccard, line_runs, packing, permutation_index, quality, repeats, resharding, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,10 @@ def op9_flow_resharding(spark, folder):
 def op1_permutation_index(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return permutation_index.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op7_suffix_repeats(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = repeats.without_repeats(docs)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

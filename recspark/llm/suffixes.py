@@ -5,11 +5,12 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_order(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(codes: np.ndarray, depth: int, h: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of `codes` and rank of each suffix, by Larsson-Sadakane refinement.
 
     Suffixes are ordered by their first `depth` codes at least. The rank is the place of the
-    first suffix of a group, so suffixes that share those codes share their rank. Each round
+    first suffix of a group, so suffixes that share those codes share their rank. `codes` may
+    hold `h` codes each, those from its place on. Each round
     doubles the depth and sorts anew only groups that still hold several suffixes.
     """
     n = len(codes)
@@ -22,7 +23,6 @@ def suffix_order(codes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]
     rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
     last = np.concatenate((first[1:], [True]))
     open_places = np.flatnonzero(~(first & last))
-    h = 1
     while h < depth and len(open_places):
         members = order[open_places]
         key = rank[members] * (n + 1) + rank[np.minimum(members + h, n)] + 1
