@@ -146,8 +146,8 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low, grams, bounds in shingle_sets(batch.column(1)):
             ids, sizes = set_ids(grams, bounds), np.diff(bounds)
             sketches = [sketch(grams[a:b]) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
-            docs = batch.column(0).slice(low, len(ids))
-            yield pa.RecordBatch.from_arrays([docs, pa.array(sizes), pa.array(ids), pa.array(sketches, pa.binary())], ["doc_id", "n", "set", "sketch"])
+            own = [batch.column(i).slice(low, len(ids)) for i in (0, 2)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(sizes), pa.array(ids), pa.array(sketches, pa.binary())], ["doc_id", "tie", "n", "set", "sketch"])
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,12 +342,13 @@ def _all_pairs(postings: DataFrame) -> DataFrame:
     return cells.groupBy("token", "low", "high").applyInArrow(meet, "x long, y long").distinct()
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of `docs` (doc_id, text)."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """Every row's doc_id, hash of its text, shingle count, set and root set."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    described = materialize(docs.mapInArrow(_described, f"doc_id {kind}, n long, set long, sketch binary"), "described")
+    tied = docs.withColumn("tie", F.xxhash64("text"))
+    described = materialize(tied.mapInArrow(_described, f"doc_id {kind}, tie long, n long, set long, sketch binary"), "described")
     sampled = docs.select("text").mapInArrow(_sampled, "token long").groupBy("token").count().where("count >= 3")
     frequent = sampled.orderBy(F.desc("count"), "token").limit(FREQUENT).select("token").toArrow()["token"].to_numpy()
     shared = spark.sparkContext.broadcast(frequent.astype(np.uint64))
@@ -373,15 +374,35 @@ def link_components(docs: DataFrame) -> DataFrame:
         if not found.isEmpty():
             roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
 
-    placed = described.drop("sketch").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    roots = roots.withColumnRenamed("node", "set")
+    return described.drop("sketch").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+
+
+def link_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of `docs` (doc_id, text)."""
+    placed = _placed(docs)
     smallest = placed.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     own = placed.join(smallest, "root", "left")
-    return own.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay when each component keeps one: the row of its smallest
-    doc_id. Rows with an empty set all stay."""
-    judged = link_components(docs).select("doc_id", "component_id")
-    gone = judged.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of `docs` that stay when each component keeps one, that with the smallest
+    doc_id (null last, then by hash of the text). Rows with an empty set all stay."""
+    placed = materialize(_placed(docs).select("doc_id", "tie", "n", "root"), "placed").where("n > 0")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
+    first = placed.groupBy("root").agg(F.min(row).alias("first"))
+    first = first.select("root", F.col("first.doc_id").alias("one"), F.col("first.tie").alias("one_tie"))
+    gone = placed.join(first, "root").where(~(F.col("doc_id").eqNullSafe(F.col("one")) & (F.col("tie") == F.col("one_tie"))))
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("tie").alias("_gone_tie")).distinct()
+    keyed = docs.withColumn("_tie", F.xxhash64("text"))
+    kept = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_gone"]) & (keyed["_tie"] == gone["_gone_tie"]), "left_anti")
+    again = placed.groupBy("doc_id", "tie").count().where("count > 1")
+    if again.isEmpty():
+        return kept.drop("_tie")
+    # rows that repeat doc_id and text: one stays
+    again = again.select(F.col("doc_id").alias("_again"), F.col("tie").alias("_again_tie"))
+    matching = kept["doc_id"].eqNullSafe(again["_again"]) & (kept["_tie"] == again["_again_tie"])
+    once = kept.join(again, matching, "left_semi").dropDuplicates(["doc_id", "_tie"])
+    return kept.join(again, matching, "left_anti").unionByName(once).drop("_tie")
