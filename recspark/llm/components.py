@@ -1,32 +1,55 @@
-"""Connected components of a distributed edge list, by large-star and small-star rounds."""
+"""Connected components of a distributed edge list, by contraction of parts of it."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize
 
+EDGES_PER_TASK = 500_000
+
+
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of these edges and the smallest node each is connected to."""
+    nodes, ends = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low < high
+        if not apart.any():
+            return nodes, nodes[root]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if parts:
+        nodes, roots = forest(*(np.concatenate(x) for x in zip(*parts)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], ["node", "root"])
 
-def components(edges: DataFrame) -> DataFrame:
+
+def components(edges: DataFrame, edges_per_task: int = EDGES_PER_TASK) -> DataFrame:
     """(node, root) for every node of `edges` (u, v); the root is the smallest node.
 
-    Each round is two joins of the edges with the minimum per node, which is aggregated
-    before its shuffle; nothing gathers a node's neighbours. Edges are written each round.
+    Each task contracts a fixed number of edges to a forest. Where a node got several roots,
+    those roots are connected: they are the edges of a smaller graph, treated alike.
     """
-    stars = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = None
-    while True:
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state or not now[0]:
-            break
-        state = now
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = materialize(large, "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = materialize(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-    roots = stars.select(F.col("v").alias("node")).distinct()
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))
+    edges = materialize(edges.select("u", "v"), "edges")
+    parts = max(1, -(-edges.count() // edges_per_task))
+    trees = materialize(edges.coalesce(parts).mapInArrow(_contract, "node long, root long"), "trees")
+    if parts == 1:
+        return trees
+    least = materialize(trees.groupBy("node").agg(F.min("root").alias("least")), "trees")
+    apart = trees.join(least, "node").where("root <> least").select(F.col("root").alias("u"), F.col("least").alias("v"))
+    above = components(apart.distinct(), edges_per_task)
+    above = above.select(F.col("node").alias("least"), F.col("root").alias("top"))
+    joined = least.join(above, "least", "left")
+    return materialize(joined.select("node", F.coalesce("top", "least").alias("root")), "trees")

@@ -363,7 +363,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     lists = rows.where("y is null").select("token", "x", "nx", "at").distinct()
     lists = materialize(lists.join(lists.groupBy("token").count().where("count > 1").select("token"), "token"), "long-lists")
     roots = components(edges)
-    for salt in (1, 2, 3, None):
+    for salt in (1, 2, None):
         known = lists.join(roots.select(F.col("node").alias("x"), "root"), "x", "left").withColumn("root", F.coalesce("root", "x"))
         several = known.groupBy("token").agg((F.min("root") < F.max("root")).alias("several")).where("several").select("token")
         lists = materialize(known.join(several, "token").select("token", "x", "nx", "at", "root"), "open-lists")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from recspark.llm import decontamination, jaccard, line_runs, repeats
+from recspark.llm.components import components
 from recspark.llm.suffixes import search, suffix_order
 
 from .conftest import both, words
@@ -203,3 +204,20 @@ def test_empty_tables(spark, empty, docs):
     assert repeats.without_repeats(empty).count() == 0
     assert decontamination.with_matches(empty, items).count() == 0
     assert decontamination.with_matches(docs, items).where("n_hit > 0").count() == 0
+
+
+@pytest.mark.parametrize("per_task", [3, 40, 10**6])
+def test_components(spark, per_task):
+    draw = np.random.default_rng(9)
+    edges = [(int(a), int(b)) for a, b in draw.integers(0, 150, (110, 2))] + [(i, i + 1) for i in range(200, 260)] + [(5, 5)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        return x if root[x] == x else find(root[x])
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    found = components(spark.createDataFrame(edges, "u long, v long").repartition(7), per_task).collect()
+    assert sorted(map(tuple, found)) == sorted((n, find(n)) for n in root)
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
