@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..storage import materialize
-from .keys import key_fields, key_text, keyed, present
+from .keys import is_whole, key_fields, key_text, keyed, present
 from .ordering import global_rank
 from .skew import ROWS_PER_TASK, attach, attach_side
 
@@ -18,7 +19,7 @@ def fit_dictionary(
 ) -> DataFrame:
     """Sorted distinct values of all columns, coded from `offset`, in one scan.
 
-    Whole numbers sort as numbers unless `as_text`; text sorts by code point. The
+    Numbers sort as numbers unless `as_text`; text sorts by code point. The
     values are counted before the one global sort, which all features share.
     """
     entries = [F.struct(*key_fields(df, name)) for name in columns]
@@ -29,7 +30,10 @@ def fit_dictionary(
         .agg(F.count(F.lit(1)).alias("n"))
         .select("feature", "number", key_text().alias("value"), "n")
     )
-    order = ["feature", "value"] if as_text else ["feature", "number", "value"]
+    fractions = [c for c in columns if not is_whole(df, c) and isinstance(df.schema[c].dataType, T.NumericType)]
+    fraction = F.when(F.col("feature").isin(*fractions), F.col("value").cast("double"))
+    counts = counts.withColumn("fraction", fraction)
+    order = ["feature", "value"] if as_text else ["feature", "number", "fraction", "value"]
     ranked = global_rank(counts, order, "rank")
     starts = ranked.groupBy("feature").agg(F.min("rank").alias("start"))
     coded = ranked.join(F.broadcast(starts), "feature").select(

@@ -21,6 +21,8 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.arrays import sigmoid
 from ..functions.vectors import add
+from .encoding import encode, fit_dictionary
+from .keys import is_whole
 from .skew import ROWS_PER_TASK, attach, attach_side
 
 
@@ -68,8 +70,14 @@ def probability(df: DataFrame, name: str = "score") -> DataFrame:
 def factor_vectors(
     df: DataFrame, user: str, item: str, rating: str, rank: int = 32, seed: int = 42, rounds: int = 5
 ) -> tuple[DataFrame, DataFrame]:
-    """One vector per user and per item, by alternating least squares on implicit feedback."""
+    """One vector per user and per item, by alternating least squares on implicit feedback.
+
+    The solver takes 32-bit ids only, so ids of any size and kind are coded and decoded.
+    """
     counted = df.groupBy(user, item).agg(F.sum(rating).cast("float").alias(rating))
+    dictionary = fit_dictionary(counted, [user, item])
+    counted = encode(counted, dictionary, [user, item])
+    counted = counted.withColumns({c: F.col(c).cast("int") for c in (user, item)})
     blocks = max(10, df.sparkSession.sparkContext.defaultParallelism)
     model = ALS(
         userCol=user,
@@ -82,9 +90,14 @@ def factor_vectors(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
     ).fit(counted)
-    users = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("vector"))
-    items = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("vector"))
-    return users, items
+
+    def decoded(factors: DataFrame, name: str) -> DataFrame:
+        value = "number" if is_whole(df, name) else "value"
+        own = dictionary.where(F.col("feature") == name)
+        own = own.select("code", F.col(value).cast(df.schema[name].dataType).alias(name))
+        return own.join(factors, F.col("code") == F.col("id")).select(name, F.col("features").alias("vector"))
+
+    return decoded(model.userFactors, user), decoded(model.itemFactors, item)
 
 
 def pair_interaction(vectors: Sequence[Column]) -> Column:

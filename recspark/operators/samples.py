@@ -45,6 +45,24 @@ def prefix_histories(
     )
 
 
+def recent_items(
+    df: DataFrame, user: str, item: str, order_by: Sequence[str], length: int, keep: str = "last"
+) -> DataFrame:
+    """Add `items`: up to `length` items of the user before this event, oldest first.
+
+    `keep="last"` gives those just before the event, `"first"` the user's earliest ones.
+    All events count; the window holds `length` items, never a whole history.
+    """
+    ordered = Window.partitionBy(user).orderBy(*order_by)
+    if keep == "last":
+        before = ordered.rowsBetween(-length, -1)
+        return df.withColumn("items", F.collect_list(item).over(before))
+    opening = df.withColumn("_n", F.row_number().over(ordered))
+    early = F.when(F.col("_n") <= length, F.col(item))
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    return opening.withColumn("items", F.collect_list(early).over(before)).drop("_n")
+
+
 def leave_last_out(histories: DataFrame) -> DataFrame:
     """Add `split`: the last event of a user is `test`, others `train`, the first is not used."""
     last = F.col("place") == F.col("events") - 1

@@ -8,6 +8,7 @@ at most `rows / rows_per_task` hot keys: that list may always be broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -96,7 +97,7 @@ def order_number(df: DataFrame, name: str) -> Column:
         return micros(df, name)
     if isinstance(kind, T.DateType):
         return F.unix_date(name)
-    return F.col(name).cast("double")
+    return F.col(name) if isinstance(kind, T.NumericType) else F.col(name).cast("double")
 
 
 def key_profile(df: DataFrame, on: Sequence[str], order: str, *extra: Column) -> DataFrame:
@@ -107,7 +108,7 @@ def key_profile(df: DataFrame, on: Sequence[str], order: str, *extra: Column) ->
     )
 
 
-_ROUNDS = 6  # of splitting blocks that are still large; the sums are exact in any case
+_BELOW = -1e300  # NULL sorts first
 
 
 def _ordered_blocks(
@@ -116,48 +117,48 @@ def _ordered_blocks(
     """Add `_path`: blocks of the rows of hot keys, whose order agrees with `order_by`.
 
     `hot` has `n`, `lo`, `hi` of the first order column. A block that is still large is
-    split again, along the first order column that varies inside it, so a key whose rows
-    crowd at one time is split by the next column. Other rows have a NULL path.
+    split again, along the first column that varies inside it, so a key whose rows crowd at
+    one time is split by the next column; columns behind one that is not a number are not
+    used. This goes on while it makes more blocks. Other rows have a NULL path.
     """
-    places = [order_number(df, c) for c in order_by if _has_number(df, c)]
+    places = [order_number(df, c) for c in takewhile(lambda c: _has_number(df, c), order_by)]
+    values = [F.coalesce(p.cast("double"), F.lit(_BELOW)) for p in places]
     heavy = hot.select(
         *on,
         F.array().cast("array<int>").alias("_path"),
         F.lit(0).alias("_by"),
-        F.col("lo").cast("double").alias("_lo"),
-        F.col("hi").cast("double").alias("_hi"),
+        F.coalesce(F.col("lo").cast("double"), F.lit(_BELOW)).alias("_lo"),
+        F.coalesce(F.col("hi").cast("double"), F.lit(_BELOW)).alias("_hi"),
         F.col("n").alias("_rows"),
     )
     marked = hot.select(*on, F.array().cast("array<int>").alias("_path"))
     cut = df.join(F.broadcast(marked), on, "left")
-    for _ in range(_ROUNDS):
+    made = 0
+    while True:
         blocks = F.ceil(4 * F.col("_rows") / F.lit(rows_per_task)).cast("int")
-        place = F.coalesce(*[F.when(F.col("_by") == i, p) for i, p in enumerate(places)])
-        share = F.try_divide(place - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+        place = F.coalesce(*[F.when(F.col("_by") == i, v) for i, v in enumerate(values)])
+        share = F.greatest(F.try_divide(place - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
         block = F.least(F.floor(share * blocks), blocks - 1).cast("int")
         split = cut.join(F.broadcast(heavy), [*on, "_path"], "left")
         path = F.concat("_path", F.array(F.coalesce(block, F.lit(0))))
         cut = split.withColumn("_path", path).select(*df.columns, "_path")
-        lows = F.array(*[F.min(p.cast("double")) for p in places]).alias("_lows")
-        highs = F.array(*[F.max(p.cast("double")) for p in places]).alias("_highs")
+        lows = F.array(*[F.min(v) for v in values]).alias("_lows")
+        highs = F.array(*[F.max(v) for v in values]).alias("_highs")
+        # compared as they are: large whole numbers may differ and yet share a double
+        differ = F.array(
+            *[(F.min(p) < F.max(p)) | (F.count(p).between(1, F.count(F.lit(1)) - 1)) for p in places]
+        ).alias("_differ")
         sizes = cut.where(F.col("_path").isNotNull()).groupBy(*on, "_path")
-        sizes = sizes.agg(F.count(F.lit(1)).alias("_rows"), lows, highs)
-        varies = F.zip_with("_lows", "_highs", lambda low, high: low < high)
-        large = sizes.where(F.col("_rows") > rows_per_task).select(
-            *on,
-            "_path",
-            (F.array_position(varies, True) - 1).cast("int").alias("_by"),
-            "_lows",
-            "_highs",
-            "_rows",
-        )
+        sizes = materialize(sizes.agg(F.count(F.lit(1)).alias("_rows"), lows, highs, differ), "blocks")
+        varies = F.transform("_differ", lambda d: F.coalesce(d, F.lit(False)))
+        by = (F.array_position(varies, True) - 1).cast("int").alias("_by")
+        large = sizes.where(F.col("_rows") > rows_per_task).select(*on, "_path", by, "_lows", "_highs", "_rows")
         split_by = [F.get("_lows", "_by").alias("_lo"), F.get("_highs", "_by").alias("_hi")]
-        heavy = materialize(
-            large.where("_by >= 0").select(*on, "_path", "_by", *split_by, "_rows"), "blocks"
-        )
-        if heavy.isEmpty():
-            break
-    return cut
+        heavy = large.where("_by >= 0").select(*on, "_path", "_by", *split_by, "_rows")
+        now = sizes.count()
+        if now == made or heavy.isEmpty():
+            return cut
+        made = now
 
 
 def _has_number(df: DataFrame, name: str) -> bool:
@@ -177,14 +178,15 @@ def running_sums(
 
     `profile` is a written `key_profile` of `df`. A hot key is cut into blocks along its
     own order; each block is one window group, and the sums of the blocks before it are
-    added. Each round of splitting makes at most about 4 * rows / rows_per_task blocks,
-    so their totals may be broadcast.
+    added. Blocks follow the order columns up to the first that is not a number; if that is
+    the first of all, the key stays whole. Each round of splitting makes at most about
+    4 * rows / rows_per_task blocks, so their totals may be broadcast.
     """
     on, order_by = list(on), list(order_by)
     hot = profile.where(F.col("n") > rows_per_task).select(*on, "n", "lo", "hi")
     earlier = Window.partitionBy(*on).orderBy(*order_by)
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    if hot.isEmpty():
+    if not _has_number(df, order_by[0]) or hot.isEmpty():
         return df.select(
             "*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(k) for k, c in sums.items()]
         )

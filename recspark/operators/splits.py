@@ -22,7 +22,11 @@ def draw(keys: Sequence[str], seed: int, size: int = _DRAWS) -> Column:
 def fraction_split(
     df: DataFrame, fractions: Sequence[float], number: Column, size: int = _DRAWS
 ) -> list[DataFrame]:
-    """Parts with about the given shares; `number` in [0, size) decides, no shuffle."""
+    """Parts with about the given shares; `number` in [0, size) decides, no shuffle.
+
+    Rows without a number count as 0, so every row is in one part.
+    """
+    number = F.coalesce(number, F.lit(0))
     parts, low = [], 0
     for share in fractions[:-1]:
         high = low + round(share * size)
@@ -37,12 +41,16 @@ def ordered_split(
     """The first `int(rows * (1 - held_out))` rows in order, and the others.
 
     The boundary row is found from counts per value slice; nothing is sorted or shuffled.
+    Rows without order or tie stand first, and all of them are in the first part.
     """
-    found = row_at(df, order, tie, lambda rows: int(rows * (1 - held_out)) - 1)
+    unplaced = F.col(order).isNull() | F.col(tie).isNull()
+    first = df.where(unplaced).count()
+    placed = df.where(~unplaced)
+    found = row_at(placed, order, tie, lambda rows: int((rows + first) * (1 - held_out)) - 1 - first)
     if found is None:
-        return df.limit(0), df
+        return df.where(unplaced), placed
     at, id_at = found
-    early = (F.col(order) < at) | ((F.col(order) == at) & (F.col(tie) <= id_at))
+    early = unplaced | (F.col(order) < at) | ((F.col(order) == at) & (F.col(tie) <= id_at))
     return df.where(early), df.where(~early)
 
 
@@ -60,20 +68,22 @@ def stratified_folds(
 
     Rows are placed by `number` in [0, size), then `key`. There may be few labels, so the
     number range is cut into blocks: a window per (label, block), plus the rows of the
-    label in the blocks before.
+    label in the blocks before. NULL is a label like the others; a NULL number counts as 0.
     """
     blocks = max(1, math.ceil(df.count() / rows_per_task))
-    cut = df.withColumn("_draw", number)
+    cut = df.withColumn("_draw", F.coalesce(number, F.lit(0)))
     cut = cut.withColumn("_block", F.floor(F.col("_draw") * blocks / size).cast("int"))
     counts = cut.groupBy(label, "_block").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(label).orderBy("_block")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        label, "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
+        F.col(label).alias("_label"),
+        F.col("_block").alias("_of"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
     )
     place = F.row_number().over(Window.partitionBy(label, "_block").orderBy("_draw", key)) - 1
-    # the join finds both sides laid out by (label, block) already
-    placed = cut.withColumn("_place", place).join(offsets, [label, "_block"])
+    same = F.col(label).eqNullSafe(F.col("_label")) & (F.col("_block") == F.col("_of"))
+    placed = cut.withColumn("_place", place).join(offsets, same)
     fold = ((F.col("_before") + F.col("_place")) % folds).cast("int").alias(name)
     return placed.select(*df.columns, fold)
 

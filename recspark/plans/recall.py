@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.metrics import recall_at
 from ..operators.ranking import factor_vectors
-from ..operators.samples import fit_profile, leave_last_out, model_rows, prefix_histories, training_samples
+from ..operators.samples import fit_profile, leave_last_out, model_rows, training_samples
 from ..operators.search import exact_topk
 from ..storage import materialize
 
@@ -43,10 +43,15 @@ def recommend_and_score(
     rank: int = 32,
     cutoffs: tuple[int, ...] = (10, 50),
 ) -> tuple[DataFrame, DataFrame]:
-    """Train vectors without the held-out last items, search, and measure recall."""
-    histories = prefix_histories(df, user, item, order_by)
-    truth = leave_last_out(histories).where(F.col("split") == "test").select(user, item)
-    train = histories.where(F.col("place") < F.col("events") - 1)
+    """Train vectors without the held-out last items, search, and measure recall.
+
+    All events take part; the last of each user with several is held out.
+    """
+    own = Window.partitionBy(user)
+    place = F.row_number().over(own.orderBy(*order_by)) - 1
+    placed = df.withColumns({"place": place, "events": F.count(F.lit(1)).over(own)})
+    truth = leave_last_out(placed).where(F.col("split") == "test").select(user, item)
+    train = placed.where(F.col("place") < F.col("events") - 1)
     users, items = factor_vectors(train, user, item, weight, rank)
     found = exact_topk(users, items, k, "cosine", user, "vector", item, "vector")
     found = materialize(found, "recommended").select(

@@ -10,7 +10,7 @@ from ..session import table
 from ..storage import materialize
 from .base import CLICKS, WIDE, clicks, query, r6, wide
 from .search import COSINE, VECTORS
-from .sequences import HISTORY, _histories
+from .sequences import EARLIER, _recent
 
 
 def _coded(spark, d):
@@ -77,14 +77,14 @@ def n3(spark, d):
 
 
 # the last five items before each event, filled with the padding id 0
-PADDED = f"""{HISTORY}, padded AS (SELECT event_id, item_id AS target, list_resize(earlier[-5:], 5, 0) AS ids
+PADDED = f"""{EARLIER}, padded AS (SELECT event_id, item_id AS target, list_resize(earlier[-5:], 5, 0) AS ids
     FROM histories),
   cells AS (SELECT event_id, target, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM padded)"""
 
 
 def _positions(spark, d):
-    padded = arrays.pad(F.reverse("history"), 5)
-    rows = _histories(spark, d).select("event_id", "item_id", padded.alias("ids"))
+    padded = arrays.pad(F.col("items"), 5)
+    rows = _recent(spark, d, 5).select("event_id", "item_id", padded.alias("ids"))
     cells = rows.select("event_id", F.col("item_id").alias("target"), F.posexplode("ids").alias("pos", "id"))
     vectors = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector")

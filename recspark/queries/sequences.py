@@ -82,9 +82,20 @@ def _histories(spark, d):
     return prefix_histories(log, "uid", "item_id", ["us", "event_id"])
 
 
+# the same of all events
+EARLIER = HISTORY.replace(" FROM placed WHERE place < 100)", " FROM placed)")
+
+
+def _recent(spark, d, length, keep="last"):
+    from ..operators.samples import recent_items
+
+    log = clicks(spark, d).select("event_id", "uid", "item_id", "us")
+    return recent_items(log, "uid", "item_id", ["us", "event_id"], length, keep)
+
+
 @query(
     "h11_history_codes",
-    f"""WITH {HISTORY}, codes AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS code
+    f"""WITH {EARLIER}, codes AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS code
       FROM (SELECT DISTINCT item_id FROM clicks)),
     last AS (SELECT event_id, earlier[-5:] AS kept FROM histories),
     cells AS (SELECT event_id, unnest(kept) AS item_id, generate_subscripts(kept, 1) AS pos FROM last),
@@ -94,9 +105,8 @@ def _histories(spark, d):
 )
 def h11(spark, d):
     log = clicks(spark, d)
-    oldest_first = F.reverse("history").cast("array<string>")
-    text = F.array_join(oldest_first, ",").alias("history")
-    rows = _histories(spark, d).select("event_id", text)
+    text = F.array_join(F.col("items").cast("array<string>"), ",").alias("history")
+    rows = _recent(spark, d, 5).select("event_id", text)
     fitted = encoding.fit_dictionary(log, ["item_id"])
     values = encoding.feature_dictionary(fitted, "item_id")
     coded = sequences.history_codes(rows, ["event_id"], "history", values)
@@ -105,28 +115,27 @@ def h11(spark, d):
 
 @query(
     "h12_pad_and_truncate",
-    f"""WITH {HISTORY} SELECT event_id,
+    f"""WITH {EARLIER} SELECT event_id,
     array_to_string(list_resize(earlier[-8:], 8, 0), ',') AS keep_last,
     array_to_string(list_resize(earlier[:8], 8, 0), ',') AS keep_first FROM histories""",
 )
 def h12(spark, d):
-    items = F.reverse("history")
-    return _histories(spark, d).select(
-        "event_id",
-        joined(arrays.pad(items, 8)).alias("keep_last"),
-        joined(arrays.pad(items, 8, keep="first")).alias("keep_first"),
-    )
+    # one item more than is kept, so that both cuts have something to cut
+    last = _recent(spark, d, 9).select("event_id", joined(arrays.pad(F.col("items"), 8)).alias("keep_last"))
+    first = _recent(spark, d, 9, keep="first")
+    first = first.select("event_id", joined(arrays.pad(F.col("items"), 8, keep="first")).alias("keep_first"))
+    return last.join(first, "event_id")
 
 
 @query(
     "h13_valid_length",
-    f"""WITH {HISTORY} SELECT event_id,
+    f"""WITH {EARLIER} SELECT event_id,
     CAST(len(list_filter(list_resize(earlier[-8:], 8, 0), lambda x: x <> 0)) AS INTEGER) AS valid
     FROM histories""",
 )
 def h13(spark, d):
-    padded = arrays.pad(F.reverse("history"), 8)
-    return _histories(spark, d).select("event_id", arrays.valid_length(padded).alias("valid"))
+    padded = arrays.pad(F.col("items"), 8)
+    return _recent(spark, d, 8).select("event_id", arrays.valid_length(padded).alias("valid"))
 
 
 @query(

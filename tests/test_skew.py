@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from recspark.operators import counting, encoding, samples, sequences, skew, splits, target
+from recspark.operators import counting, encoding, ranking, samples, sequences, skew, splits, target
 from recspark.operators.ordering import cumulative, global_rank, row_at
 from recspark.operators.skew import attach, attach_side, key_profile, running_sums
 
@@ -224,3 +224,74 @@ def test_stratified_folds_in_blocks(spark):
     assert rows_of(blocked, "id", "fold") == rows_of(plain, "id", "fold")
     counts = blocked.groupBy("y", "fold").count().collect()
     assert {(r.y, r["count"]) for r in counts} == {(0, 150), (1, 50)}
+
+
+def _brute_sums(rows, order):
+    """Sum of y over the earlier rows of the same key, by id."""
+    out = {}
+    for key in {r["key"] for r in rows}:
+        total = 0
+        for r in sorted((r for r in rows if r["key"] == key), key=order):
+            out[r["id"]] = total
+            total += r["y"]
+    return out
+
+
+@pytest.mark.parametrize("order_by", [["ts", "name", "id"], ["name", "ts", "id"], ["ts", "big", "id"], ["half", "id"]])
+def test_running_sums_with_crowded_text_and_null_order(spark, order_by):
+    rng = random.Random(3)
+    rows = []
+    for i in range(500):
+        ts = None if i % 9 == 0 else rng.choice([5, 5, 5, i])
+        rows.append((i, "hot" if i % 5 else "cold", ts, f"n{rng.randrange(60)}", 2**60 + rng.randrange(40), rng.choice([None, 0.5, 0.25]), rng.randrange(9)))
+    df = spark.createDataFrame(rows, "id long, key string, ts long, name string, big long, half double, y long")
+    got = running_sums(df, key_profile(df, ["key"], order_by[0]), ["key"], order_by, {"s": F.col("y")}, HOT)
+    wanted = _brute_sums(df.collect(), lambda r: [(r[c] is not None, r[c] if r[c] is not None else 0) for c in order_by])
+    assert {r["id"]: r["s"] for r in got.collect()} == wanted
+
+
+def test_splits_lose_no_row_with_nulls(spark):
+    rows = [(i, None if i % 10 == 0 else i % 37, None if i % 17 == 3 else i, None if i % 7 == 0 else i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, ts long, tie long, label long")
+    everything = sorted(r["id"] for r in df.collect())
+    unplaced = {r[0] for r in rows if r[1] is None or r[2] is None}
+    for held_out in (0.2, 0.95, 1.0):
+        early, late = splits.ordered_split(df, "ts", "tie", held_out)
+        ids = [r["id"] for r in early.collect()]
+        assert sorted(ids + [r["id"] for r in late.collect()]) == everything
+        placed = sorted((r for r in rows if r[0] not in unplaced), key=lambda r: (r[1], r[2]))
+        size = max(int(300 * (1 - held_out)) - len(unplaced), 0)
+        assert set(ids) == unplaced | {r[0] for r in placed[:size]}
+    parts = splits.fraction_split(df, [0.5, 0.3, 0.2], F.col("tie") % 100, 100)
+    assert sorted(r["id"] for p in parts for r in p.collect()) == everything
+    folds = splits.stratified_folds(df, "label", "id", F.col("ts"), 4, 40, rows_per_task=50).collect()
+    assert sorted(r["id"] for r in folds) == everything
+    for label in (None, 0, 1, 2):
+        counts = [sum(r["fold"] == f and r["label"] == label for r in folds) for f in range(4)]
+        assert max(counts) - min(counts) <= 1
+
+
+def test_fractions_are_coded_in_number_order(spark):
+    df = spark.createDataFrame([(9.5, "9.5"), (100.0, "100"), (-1.0, "-1"), (10.5, "10.5"), (None, None)], "x double, t string")
+    df = df.withColumn("d", F.col("x").cast("decimal(9,2)"))
+    fitted = encoding.fit_dictionary(df, ["x", "d", "t"])
+    coded = encoding.encode(df, fitted, ["d"], into={"d": "code"})
+    assert [r["x"] for r in coded.where("x is not null").orderBy("code").collect()] == [-1.0, 9.5, 10.5, 100.0]
+    values = [r["value"] for r in fitted.where("feature = 'x'").orderBy("code").collect()]
+    assert values == ["-1.0", "9.5", "10.5", "100.0"]
+
+
+def test_factor_vectors_of_long_and_text_ids(spark):
+    rows = [(3_000_000_000 + u, f"item{(u * k) % 7}", 1) for u in range(20) for k in range(1, 5)]
+    df = spark.createDataFrame(rows, "u long, m string, w int")
+    users, items = ranking.factor_vectors(df, "u", "m", "w", rank=4, rounds=1)
+    assert {r["u"] for r in users.collect()} == {r[0] for r in rows}
+    assert {r["m"] for r in items.collect()} == {r[1] for r in rows}
+
+
+def test_recent_items_see_every_event(spark):
+    df = spark.createDataFrame([(i, i % 2, i * 7) for i in range(700)], "t long, u long, m long")
+    last = {r["t"]: r["items"] for r in samples.recent_items(df, "u", "m", ["t"], 5).collect()}
+    first = {r["t"]: r["items"] for r in samples.recent_items(df, "u", "m", ["t"], 5, keep="first").collect()}
+    assert last[698] == [7 * t for t in (688, 690, 692, 694, 696)] and last[1] == []
+    assert first[699] == [7 * t for t in (1, 3, 5, 7, 9)] and first[4] == [0, 14]
