@@ -49,6 +49,7 @@ WORDS = 5
 SHORT = 64
 LEADERS = 8
 FREQUENT = 200_000
+SMALL_IDS = 500_000  # document ids that may be broadcast to find their texts
 _SAMPLE = 16
 _PER_GROUP = 1_000_000  # postings per group of lists
 _INSIDE = np.ones(256, bool)
@@ -271,7 +272,9 @@ class _Links:
             return near.select(F.col("x").alias("u"), F.col("y").alias("v"))
 
         wanted = near.select(F.col("x").alias("set")).union(near.select("y")).distinct()
-        ids = self.sets.join(wanted, "set").select("doc_id").distinct()
+        ids = materialize(self.sets.join(wanted, "set").select("doc_id").distinct(), "near-ids")
+        if ids.count() <= SMALL_IDS:
+            ids = F.broadcast(ids)
 
         def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -319,24 +322,51 @@ def _possible(met: DataFrame) -> DataFrame:
 _CHUNK = 512
 
 
-def _all_pairs(postings: DataFrame) -> DataFrame:
-    """All pairs of a list that lie in different components, by pairs of chunks of the list."""
+def _sketch_matrix(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches of at least `width` bytes as rows, the wider ones folded to it."""
+    rows = np.empty((len(sketches), width), np.uint8)
+    for i, raw in enumerate(sketches):
+        rows[i] = np.bitwise_xor.reduce(np.frombuffer(raw, np.uint8).reshape(-1, width), 0)
+    return rows.view(np.uint64)
+
+
+def near_pairs(left: np.ndarray, right: np.ndarray, x, root, n, at, sketches: list[bytes]) -> np.ndarray:
+    """Pairs of these rows in different components that sizes, places and sketches allow."""
+    found = [np.zeros((0, 2), np.int64)]
+    widths = np.array([len(s) for s in sketches])
+    # linked sets differ by a third at most, so their sketches by a factor of two
+    for a in np.unique(widths[left]):
+        for b in (a // 2, a, 2 * a):
+            own, others = left[widths[left] == a], right[widths[right] == b]
+            if not len(own) or not len(others):
+                continue
+            width = int(min(a, b))
+            ours = _sketch_matrix([sketches[i] for i in own], width)
+            theirs = _sketch_matrix([sketches[i] for i in others], width)
+            for i, mine in zip(own.tolist(), ours):
+                ok = np.flatnonzero((root[others] != root[i]) & (x[others] != x[i]) & _allowed(n[i], n[others], at[i], at[others]))
+                j = others[ok]
+                apart = np.bitwise_count(theirs[ok] ^ mine).sum(1)
+                j = j[apart <= n[i] + n[j] - 2 * needed(n[i], n[j])]
+                found.append(np.stack([np.minimum(x[i], x[j]), np.maximum(x[i], x[j])], 1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _all_pairs(postings: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of a list that lie in different components and may link, by pairs of chunks
+    of the list."""
     counts = postings.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / _CHUNK).cast("int").alias("chunks"))
     rows = postings.join(counts, "token").withColumn("own", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int"))
+    rows = rows.join(sets.select(F.col("set").alias("x"), "sketch"), "x")
     spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     cells = spread.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-    cells = cells.select("token", "low", "high", "own", "x", "root", "nx", "at")
+    cells = cells.select("token", "low", "high", "own", "x", "root", "nx", "at", "sketch")
 
     def meet(table: pa.Table) -> pa.Table:
         own, x, root, n, at = (table[c].to_numpy() for c in ("own", "x", "root", "nx", "at"))
         low, high = table["low"][0].as_py(), table["high"][0].as_py()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        pairs = []
-        for i in left:
-            j = right[(x[right] > x[i]) if low == high else slice(None)]
-            j = j[(root[j] != root[i]) & _allowed(n[i], n[j], at[i], at[j])]
-            pairs.append(np.stack([np.minimum(x[i], x[j]), np.maximum(x[i], x[j])], 1))
-        found = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+        found = near_pairs(left, right, x, root, n, at, table["sketch"].to_pylist())
         return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1])], ["x", "y"])
 
     return cells.groupBy("token", "low", "high").applyInArrow(meet, "x long, y long").distinct()
@@ -369,7 +399,7 @@ def _placed(docs: DataFrame) -> DataFrame:
         lists = materialize(known.join(several, "token").select("token", "x", "nx", "at", "root"), "open-lists")
         if lists.isEmpty():
             break
-        found = links.among(_leader_pairs(lists, salt) if salt else _all_pairs(lists))
+        found = links.among(_leader_pairs(lists, salt) if salt else _all_pairs(lists, links.sets))
         lists = lists.drop("root")
         if not found.isEmpty():
             roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
