@@ -78,14 +78,10 @@ def softmax(scores: Column) -> Column:
 
 def masked_softmax(scores: Column, ids: Column) -> Column:
     """`softmax` over the positions whose id is not the padding 0; all padding gives equal weights."""
-    hidden = F.lit(float(1 - 2**32))
+    hidden = F.lit(float(1 - 2**32))  # fixed value: the score of padding
     return softmax(F.zip_with(scores, ids, lambda s, i: F.when(i != 0, s).otherwise(hidden)))
 
 
-def indicator(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
-
-
 def named_items(values: Column, names: Sequence[str]) -> list[Column]:
     """Array to named columns, by position."""
     return [F.get(values, i).alias(name) for i, name in enumerate(names)]

@@ -20,15 +20,17 @@ def train_vectors(
     size: int = 100,
     window: int = 3,
     min_count: int = 1,
-    partitions: int = 1,
+    partitions: int | None = None,
     seed: int = 42,
     iterations: int = 1,
 ) -> DataFrame:
     """`(token, vector)` by skip-gram with hierarchical softmax.
 
     The reference library's default is the bag-of-words form with negative sampling,
-    so single similarities differ; use `partitions` for parallel training.
+    so single similarities differ. It trains in as many parts as the session runs tasks,
+    or in `partitions`; each part sees its own rows and the parts are averaged.
     """
+    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
     model = Word2Vec(
         vectorSize=size,
         windowSize=window,
@@ -60,6 +62,8 @@ def analogy(
     chosen = vectors.where(F.col("token").isin(given))
     unit = array_to_vector(l2_normalize(F.transform("vector", lambda x: x * sign)))
     # one vector for a fixed list of words
+    if chosen.isEmpty():
+        raise ValueError(f"none of these words has a vector: {given}")
     mean = chosen.agg(vector_to_array(Summarizer.mean(unit)).alias("mean")).first()["mean"]
     query = F.array(*[F.lit(float(x)) for x in mean])
     others = vectors.where(~F.col("token").isin(given))

@@ -13,6 +13,8 @@ from .keys import is_whole, key_fields, key_text, keyed, present
 from .ordering import global_rank
 from .skew import ROWS_PER_TASK, attach, attach_side
 
+MAX_ONE_HOT = 5_000  # columns that one frame may get
+
 
 def fit_dictionary(
     df: DataFrame, columns: Sequence[str], as_text: bool = False, offset: int = 0
@@ -97,7 +99,9 @@ def one_hot(df: DataFrame, codes: Sequence[str], dictionary: DataFrame) -> DataF
     `OneHotEncoder` vectors for large ones.
     """
     fitted = dictionary.where(F.col("feature").isin(list(codes))).select("feature", "code")
-    names = sorted((r.feature, r.code) for r in fitted.collect())
+    names = sorted((r.feature, r.code) for r in fitted.limit(MAX_ONE_HOT + 1).collect())
+    if len(names) > MAX_ONE_HOT:
+        raise ValueError(f"over {MAX_ONE_HOT} categories; use OneHotEncoder vectors")
     flags = [
         F.coalesce((F.col(c) == code).cast("int"), F.lit(0)).alias(f"{c}_{code}")
         for c, code in names

@@ -130,17 +130,10 @@ def training_samples(
     number = F.pmod(draw(F.col("place"), F.col("_j")), unseen).cast("long")
     rank = F.when(F.col("_j") >= 0, unseen_rank(F.col("seen"), number))
     drawn = spread.withColumn("rank", rank).drop("seen")
-    items = popular.select("rank", F.col(item).alias("_drawn"), F.lit(0).alias("n"))
-    joined = attach(drawn, items, ["rank"], rows_per_task=rows_per_task)
-    positive = F.col("_j") < 0
-    return joined.select(
-        user,
-        "history",
-        F.when(positive, F.col(item)).otherwise(F.col("_drawn")).alias(item),
-        F.when(positive, 1).otherwise(0).alias("label"),
-        "hist_len",
-        "split",
-    )
+    # only the drawn rows look up an item; a rank is drawn about as often as any other
+    negative = drawn.where("_j >= 0").drop(item).join(popular.select("rank", item), "rank")
+    positive = drawn.where("_j < 0").withColumn("label", F.lit(1))
+    return positive.select(*shape).unionAll(negative.withColumn("label", F.lit(0)).select(*shape))
 
 
 def fit_profile(

@@ -50,6 +50,8 @@ def minmax_scale(df: DataFrame, fitted: DataFrame) -> DataFrame:
     """To [0, 1]; a constant column becomes 0."""
     scaled = {}
     for feat, low, high in fitted.collect():  # one row per feature
+        if low is None:
+            raise ValueError(f"no value of {feat} was fitted")
         width = (high - low) or 1.0
         scaled[feat] = (F.col(feat).cast("double") - F.lit(low)) / F.lit(width)
     return df.withColumns(scaled)

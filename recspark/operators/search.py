@@ -114,9 +114,8 @@ def _with_block_counts(q: DataFrame, v: DataFrame, block: int) -> tuple[DataFram
         number = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int")
         return side.groupBy("cluster").agg(number.alias(f"{name}_blocks"))
 
-    # only the probed lists are read, as whole folders; there are at most MAX_LISTS names
-    probed = [r.cluster for r in q.select("cluster").distinct().collect()]
-    v = v.where(F.col("cluster").isin(probed))
+    # only the probed lists are read, as whole folders; there are at most MAX_LISTS of them
+    v = v.join(F.broadcast(q.select("cluster").distinct()), "cluster", "left_semi")
     sizes = F.broadcast(blocks(q, "query").join(blocks(v, "item"), "cluster"))
     return q.join(sizes, "cluster"), v.join(sizes, "cluster")
 

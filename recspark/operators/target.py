@@ -48,6 +48,8 @@ def fit_target(
 def prior(fitted: DataFrame) -> float:
     """Mean target over all training rows."""
     row = fitted.where(F.col("feature") == _ALL).select(F.col("total") / F.col("n")).first()
+    if row is None:
+        raise ValueError("the training table has no rows")
     return row[0]
 
 

@@ -73,6 +73,16 @@ def h4(spark, d):
     return encoding.encode(coded, texts, ["item_text"])
 
 
+@query(
+    "h4_fraction_codes",
+    """SELECT l_orderkey, l_linenumber, dense_rank() OVER (ORDER BY l_extendedprice) - 1 AS price
+    FROM lineitem""",
+)
+def h4_fractions(spark, d):
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("price"))
+    return encoding.encode(lines, encoding.fit_dictionary(lines, ["price"]), ["price"])
+
+
 @query(
     "h5_label_encode_from_one",
     """SELECT c_custkey, dense_rank() OVER (ORDER BY c_mktsegment) AS segment,

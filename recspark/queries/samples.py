@@ -156,6 +156,36 @@ SAMPLES = f"""{HISTORY}, sized AS (SELECT *, count(*) OVER (PARTITION BY uid) AS
     SELECT uid, list_reverse(earlier), negative, 0, place, split FROM drawn)"""
 
 
+_LABELLED = "r AS (SELECT doc_id, quality FROM documents LEFT JOIN labels USING (doc_id))"
+
+
+def _labelled(spark, d):
+    labels = table(spark, d, "labels").select("doc_id", F.col("quality").cast("long").alias("quality"))
+    return table(spark, d, "documents").select("doc_id").join(labels, "doc_id", "left")
+
+
+@query(
+    "l2_split_of_unplaced_rows",
+    f"""WITH {_LABELLED}, s AS (SELECT *, count(*) OVER () AS n,
+      row_number() OVER (ORDER BY quality NULLS FIRST, doc_id) AS rn FROM r)
+    SELECT doc_id, CASE WHEN quality IS NULL OR rn <= CAST(floor(n * (1 - 0.05::DOUBLE)) AS BIGINT)
+      THEN 'early' ELSE 'late' END AS part FROM s""",
+)
+def l2_unplaced(spark, d):
+    early, late = splits.ordered_split(_labelled(spark, d), "quality", "doc_id", 0.05)
+    return early.select("doc_id", F.lit("early").alias("part")).unionAll(late.select("doc_id", F.lit("late")))
+
+
+@query(
+    "l5_folds_of_unlabelled_rows",
+    f"""WITH {_LABELLED} SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality
+      ORDER BY doc_id % 1000, doc_id) - 1) % 5 AS INTEGER) AS fold FROM r""",
+)
+def l5_unlabelled(spark, d):
+    rows = splits.stratified_folds(_labelled(spark, d), "quality", "doc_id", F.col("doc_id") % 1000, 5, 1000)
+    return rows.select("doc_id", F.col("quality").cast("int").alias("quality"), "fold")
+
+
 @query(
     "l6_negative_samples",
     f"""WITH {SAMPLES} SELECT uid, array_to_string(history, ',') AS history, item_id, label,

@@ -148,7 +148,7 @@ def i6(spark, d):
 )
 def i1(spark, d):
     talks = table(spark, d, "conversations").select(F.split("text", " ").alias("words"))
-    vectors = embeddings.train_vectors(talks, "words", size=100, window=3, min_count=1, partitions=4)
+    vectors = embeddings.train_vectors(talks, "words", size=100, window=3, min_count=1)
     return vectors.select("token", F.size("vector").alias("size"))
 
 
@@ -194,5 +194,5 @@ def i3(spark, d):
 def i7(spark, d):
     lists = sequences.user_items(clicks(spark, d), "uid", "item_id", ["us", "event_id"])
     sentences = lists.select(F.col("items").cast("array<string>").alias("items"))
-    vectors = embeddings.train_vectors(sentences, "items", size=32, window=5, min_count=5, partitions=4)
+    vectors = embeddings.train_vectors(sentences, "items", size=32, window=5, min_count=5)
     return vectors.select(F.col("token").cast("long").alias("item_id"), F.size("vector").alias("size"))

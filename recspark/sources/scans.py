@@ -59,14 +59,6 @@ def text_files(
     )
 
 
-def file_list(spark: SparkSession, folder: str, extension: str | None = None) -> DataFrame:
-    """The paths below `folder`, sorted, without reading the files."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if extension:
-        reader = reader.option("pathGlobFilter", f"*.{extension.split('.')[-1]}")
-    return reader.load(folder).select("path").orderBy("path")
-
-
 def folder_label(path: Column) -> Column:
     """The second-last part of a path: the folder a labelled file lies in."""
     return F.element_at(F.split(path, "/"), -2)

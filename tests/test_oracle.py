@@ -9,6 +9,9 @@ from .oracle import compare, connect
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
+ENTRY_COLUMNS = [
+    "item_id", "uid", "history", "label", "hist_len", "split", "user_channel", "item_channel", "item_duration",
+]
 
 
 @pytest.fixture(scope="module")
@@ -32,5 +35,5 @@ def test_rows_only(spark, name):
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns[:2] == ["item_id", "uid"] or "label" in df.columns
+    assert df.columns == ENTRY_COLUMNS
     assert df.count() > 0
