@@ -37,21 +37,25 @@ def attach(
     """Join `df` to a fitted table with unique keys; the rows of a hot key are split.
 
     Without hot keys this is a plain equi-join, broadcast by Catalyst when the written
-    table is small. With hot keys a table that proves small is broadcast; else the rows of
+    table is small; rows with a NULL key are spread in any case. A key that is hot in `df`
+    alone, not where the table was fitted, is left to the adaptive skew join. With hot keys a table that proves small is broadcast; else the rows of
     a hot key are spread over `ceil(n / rows_per_task)` salts and its one table row is
     repeated as often. The salt is a hash of the row, so a re-run task yields the same.
     """
     on = list(on)
     splits = F.ceil(F.col(n) / F.lit(rows_per_task)).cast("int")
     hot = table.where(F.col(n) > rows_per_task).select(*on, splits.alias("_splits"))
-    if hot.isEmpty():
-        return df.join(table.drop(n), on, how)
-    if is_small(table):
-        return df.join(F.broadcast(table.drop(n)), on, how)
     row = F.xxhash64(*_hashable(df))
     unknown = F.lit(False)
     for key in on:
         unknown = unknown | F.col(key).isNull()
+    if hot.isEmpty():
+        if how != "left":
+            return df.join(table.drop(n), on, how)
+        spread = df.withColumn("_salt", F.when(unknown, F.pmod(row, F.lit(4096))).otherwise(0).cast("int"))
+        return spread.join(table.drop(n).withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
+    if is_small(table):
+        return df.join(F.broadcast(table.drop(n)), on, how)
     # a NULL key matches nothing, so its rows may go anywhere
     salt = F.when(unknown, F.pmod(row, F.lit(4096))).otherwise(
         F.coalesce(F.pmod(row, F.col("_splits")), F.lit(0))
@@ -85,8 +89,9 @@ def attach_side(
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     hot = materialize(counts.where(F.col("n") > rows_per_task), "hot")
     if hot.isEmpty():
-        return df.join(side, list(on), how)
-    counted = side.join(F.broadcast(hot), list(on), "left")
+        return attach(df, side.withColumn("n", F.lit(0)), on, "n", how, rows_per_task)
+    # a hot key that the side lacks (a sentinel) gets a row without values, so it is split too
+    counted = side.join(hot, list(on), "full" if how == "left" else "left")
     return attach(df, counted.withColumn("n", F.coalesce("n", F.lit(0))), on, "n", how, rows_per_task)
 
 

@@ -295,3 +295,29 @@ def test_recent_items_see_every_event(spark):
     first = {r["t"]: r["items"] for r in samples.recent_items(df, "u", "m", ["t"], 5, keep="first").collect()}
     assert last[698] == [7 * t for t in (688, 690, 692, 694, 696)] and last[1] == []
     assert first[699] == [7 * t for t in (1, 3, 5, 7, 9)] and first[4] == [0, 14]
+
+
+def test_rows_with_null_keys_are_spread_without_any_hot_key(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("key"))
+    table = rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = attach(rows, table, ["key"])
+        counts = [r["count"] for r in joined.where("key is null").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(counts) > 4 and max(counts) < 3600 / 2
+    assert rows_of(joined, "id", "top") == rows_of(rows.join(table.drop("n"), "key", "left"), "id", "top")
+
+
+def test_hot_sentinels_that_the_side_lacks_are_split(spark):
+    rows = spark.range(600).select("id", F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 90).alias("key"))
+    side = spark.range(60).select(F.col("id").alias("key"), (F.col("id") * 3).alias("v"))
+    for how in ("left", "inner"):
+        split = attach_side(rows, side, ["key"], how, rows_per_task=HOT)
+        assert rows_of(split, "id", "key", "v") == rows_of(rows.join(side, "key", how), "id", "key", "v")
+    plan = attach_side(rows, side, ["key"], rows_per_task=HOT)._jdf.queryExecution().toString()
+    assert "_salt" in plan
