@@ -134,3 +134,44 @@ def op7_suffix_repeats(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cleaned = repeats.without_repeats(docs)
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _words(table_name: str, key: str, pattern: str) -> str:
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, regexp_extract_all({lowered}, '{pattern}') AS w FROM {table_name}"
+
+
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLES["op8_benchmark_decontamination"] = f"""WITH d AS ({_words("documents", "doc_id", _LETTERS)}),
+  i AS ({_words("benchmark", "item_id", _LETTERS)}),
+  windows AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(w), 10) AS size, unnest(list_transform(
+    range(1, greatest(len(w) - 9, least(len(w), 1)) + 1), lambda p: array_to_string(w[p:p + 9], ' '))) AS g FROM i),
+  sizes AS (SELECT DISTINCT size FROM windows),
+  places AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM d CROSS JOIN sizes),
+  hits AS (SELECT doc_id, p, windows.size, item FROM places JOIN windows
+    ON windows.size = places.size AND windows.g = array_to_string(w[p:p + places.size - 1], ' ')),
+  covered AS (SELECT doc_id, count(DISTINCT x) AS n FROM
+    (SELECT doc_id, unnest(range(p, p + size)) AS x FROM hits) GROUP BY doc_id),
+  items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+  SELECT d.doc_id, len(w) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+    sha256(coalesce(t.names, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+  FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN items t ON t.doc_id = d.doc_id"""
+
+_JACCARD_WORDS = _words("documents", "doc_id", r"[^\x20\x09-\x0D]+")
+ORACLES["op10_jaccard_join"] = f"""WITH RECURSIVE words AS ({_JACCARD_WORDS}),
+  shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM words),
+  sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+  shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM shingles x JOIN shingles y
+    ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+  links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * i >= 75 * (x.n + y.n - i)),
+  edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+  reached(doc_id, other) AS (SELECT doc_id, doc_id FROM words
+    UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other),
+  smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+  SELECT s.doc_id, coalesce(n, 0) AS n_shingles, component_id
+  FROM smallest s LEFT JOIN sizes z ON z.doc_id = s.doc_id"""
