@@ -16,7 +16,8 @@ A document is the set of its 5-word shingles. Two documents link at a Jaccard si
    that is neither tested nor already in one component gets tested.
 4. A pair must pass a parity sketch: bit h mod w is the parity of the shingles with that
    hash, so the differing bits of two sketches never exceed the symmetric difference. This
-   drops nearly all unlinked pairs and no linked one.
+   drops nearly all unlinked pairs and no linked one. All pairs of a long list are tested by
+   sketches of eight times the width before they leave their task.
 5. Remaining pairs are grouped by query set and answered by DivideSkip: the lists of the
    query's shingles are divided into long and short ones, the short ones are merged with
    counts, candidates that can still reach T are probed in the long ones by binary search.
@@ -94,9 +95,10 @@ def set_ids(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(size > 0, ids, np.uint64(0)).astype(np.int64)
 
 
-def sketch(grams: np.ndarray) -> bytes:
-    """Parity of the shingles by hash modulo a power of two that is at least their number."""
-    width = 1 << max(6, min(len(grams) - 1, 1 << 18).bit_length()) if len(grams) else 64
+def sketch(grams: np.ndarray, room: int = 1) -> bytes:
+    """Parity of the shingles by hash modulo a power of two that is at least `room` times
+    their number. With more room fewer shingles cancel out: 8 leaves few unlinked pairs."""
+    width = 1 << max(6, min(room * len(grams) - 1, 1 << 21).bit_length()) if len(grams) else 64
     odd = np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -146,9 +148,10 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, grams, bounds in shingle_sets(batch.column(1)):
             ids, sizes = set_ids(grams, bounds), np.diff(bounds)
-            sketches = [sketch(grams[a:b]) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
+            spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+            sketches = [pa.array([sketch(grams[a:b], room) if b > a else None for a, b in spans], pa.binary()) for room in (1, 8)]
             own = [batch.column(i).slice(low, len(ids)) for i in (0, 2)]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(sizes), pa.array(ids), pa.array(sketches, pa.binary())], ["doc_id", "tie", "n", "set", "sketch"])
+            yield pa.RecordBatch.from_arrays([*own, pa.array(sizes), pa.array(ids), *sketches], ["doc_id", "tie", "n", "set", "sketch", "wide"])
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +253,7 @@ class _Links:
     def __init__(self, docs: DataFrame, described: DataFrame):
         self.docs = docs
         self.sets = materialize(
-            described.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
+            described.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")),
             "sets",
         )
 
@@ -357,7 +360,7 @@ def _all_pairs(postings: DataFrame, sets: DataFrame) -> DataFrame:
     of the list."""
     counts = postings.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / _CHUNK).cast("int").alias("chunks"))
     rows = postings.join(counts, "token").withColumn("own", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int"))
-    rows = rows.join(sets.select(F.col("set").alias("x"), "sketch"), "x")
+    rows = rows.join(sets.select(F.col("set").alias("x"), F.col("wide").alias("sketch")), "x")
     spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     cells = spread.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
     cells = cells.select("token", "low", "high", "own", "x", "root", "nx", "at", "sketch")
@@ -378,7 +381,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
     tied = docs.withColumn("tie", F.xxhash64("text"))
-    described = materialize(tied.mapInArrow(_described, f"doc_id {kind}, tie long, n long, set long, sketch binary"), "described")
+    described = materialize(tied.mapInArrow(_described, f"doc_id {kind}, tie long, n long, set long, sketch binary, wide binary"), "described")
     sampled = docs.select("text").mapInArrow(_sampled, "token long").groupBy("token").count().where("count >= 3")
     frequent = sampled.orderBy(F.desc("count"), "token").limit(FREQUENT).select("token").toArrow()["token"].to_numpy()
     shared = spark.sparkContext.broadcast(frequent.astype(np.uint64))
@@ -405,7 +408,7 @@ def _placed(docs: DataFrame) -> DataFrame:
             roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
 
     roots = roots.withColumnRenamed("node", "set")
-    return described.drop("sketch").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    return described.drop("sketch", "wide").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
 
 
 def link_components(docs: DataFrame) -> DataFrame:
