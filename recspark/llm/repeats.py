@@ -294,8 +294,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     listed = materialize(listed, "anchors")
     occurrence = F.xxhash64("t1", "t2", "place")
     repeated = listed.groupBy("anchor").agg(F.min(occurrence).alias("a"), F.max(occurrence).alias("b")).where("a < b").select("anchor")
-    wanted = listed.join(repeated, "anchor").select("anchor", "t1", "t2", "first", "last").distinct()
-    wanted = wanted.groupBy("t1", "t2").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("listed"))
+    # grouped by text right after the join, so a hot anchor may be split by the adaptive join
+    wanted = listed.join(repeated, "anchor").groupBy("t1", "t2")
+    wanted = wanted.agg(F.collect_set(F.struct("anchor", "first", "last")).alias("listed"))
     known = copies.join(wanted, ["t1", "t2"], "left")
     # one copy carries the text on; other copies and texts without repeats are done here
     joined = texts.join(known, ["t1", "t2"], "left")
