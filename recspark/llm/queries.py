@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, jaccard, line_runs, packing, permutation_index, quality, repeats, resharding, token_files, url_filter
+from . import decontamination, jaccard, line_runs, packing, period_runs, permutation_index, quality, repeats, resharding, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +175,32 @@ ORACLES["op10_jaccard_join"] = f"""WITH RECURSIVE words AS ({_JACCARD_WORDS}),
   smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
   SELECT s.doc_id, coalesce(n, 0) AS n_shingles, component_id
   FROM smallest s LEFT JOIN sizes z ON z.doc_id = s.doc_id"""
+
+
+@query
+def op13_period_runs(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # one document in ten: from word a on, its words repeat with period p
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    parts = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    parts = parts.select("*", F.nullif(F.size("w"), F.lit(0)).cast("long").alias("n"))
+    parts = parts.withColumn("a", F.pmod("g", "n").cast("int"))
+    parts = parts.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    period = F.slice("w", F.col("a") + 1, F.col("p"))
+    copies = F.flatten(F.array_repeat(period, F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    repeated = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(copies, F.lit(1), (F.col("n") - F.col("a")).cast("int")))
+    parts = parts.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+    found = period_runs.with_runs(parts)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = period_runs.strongest("runs")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
