@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import decontamination, jaccard, line_runs, packing, period_runs, permutation_index, quality, repeats, resharding, token_files, url_filter
+from . import conversation_repair, decontamination, jaccard, line_runs, packing, period_runs, permutation_index, quality, repeats, resharding, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -204,3 +204,73 @@ def op13_period_runs(spark, folder):
         F.sha2(F.array_join("lines", "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_conversation_repair(spark, folder):
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    ids = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    rows = rows.select("*", (F.crc32(F.concat_ws(":", *ids).cast("binary")) % 20).alias("c"))
+    damaged = rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("c") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("c") == 1, "").when(F.col("c") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (F.col("c") != 0).alias("present"),
+        F.explode(F.array_repeat("c", F.when(F.col("c") == 3, 2).otherwise(1))),
+    )
+    return conversation_repair.conversations(conversation_repair.repair(damaged, F.col("present")))
+
+
+def _repair_sql() -> str:
+    """The program row by row: per state the least {cost, audit, repaired rows}."""
+    kind = "STRUCT(c BIGINT, w VARCHAR, o VARCHAR[])"
+    one = lambda x, cost, edit, row="NULL": (
+        f"CASE WHEN {x} IS NOT NULL THEN {{'c': {x}.c + {cost}, 'w': {x}.w || '{edit}', "
+        f"'o': CASE WHEN {row} IS NULL THEN {x}.o ELSE list_append({x}.o, {row}) END}} END"
+    )
+    least = lambda *ways: f"list_sort(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))[1]::{kind}"
+    pen = "CASE fault WHEN 3 THEN 5 ELSE 0 END"
+    only = lambda test, way: f"CASE WHEN {test} THEN {way} END"
+    stays = "fault NOT IN (1, 2)"
+    to_user = [only(stays, one(x, f"1 + {pen}", "R", "'user:' || text")) for x in ("e", "s", "a")]
+    to_user += [only(f"{stays} AND initial = 'u'", one(x, pen, "K", "role || ':' || text")) for x in ("e", "s", "a")]
+    to_assistant = [only(stays, one("u", f"1 + {pen}", "R", "'assistant:' || text"))]
+    to_assistant += [only(f"{stays} AND initial = 'a'", one("u", pen, "K", "role || ':' || text"))]
+    to_system = only(f"{stays} AND initial = 's'", one("e", pen, "K", "role || ':' || text"))
+    user = lambda x: one(x, 5, "I", "'user:'")
+    crc = "xor(list_reduce(flatten([[4294967295], flatten(list_transform(range(1, length(k) + 1), lambda i: "
+    crc += "[CAST(ascii(k[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))]), lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) "
+    crc += "WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384) ELSE acc // 2 END), 4294967295) % 20"
+    return f"""WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+  coded AS (SELECT *, {crc} AS c FROM keyed),
+  damaged AS (SELECT conv_id, turn, CASE c WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE c WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE c WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM coded WHERE c <> 0),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+  judged AS (SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 3 ELSE 0 END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+  facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+  dp AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'w': '', 'o': []}}::{kind} AS e,
+      NULL::{kind} AS s, NULL::{kind} AS u, NULL::{kind} AS a FROM conversations
+    UNION ALL SELECT conv_id, i, {least(one("e", 2, "D"))}, {least(one("s", 2, "D"), to_system)},
+      {least(one("u", 2, "D"), *to_user)}, {least(one("a", 2, "D"), *to_assistant)}
+    FROM (SELECT * REPLACE ({least("a", one("u", 5, "I", "'assistant:'"))} AS a) FROM
+      (SELECT dp.conv_id, j.i, role, text, initial, fault, e, s, {least("u", user("e"), user("s"), user("a"))} AS u, a
+       FROM dp JOIN judged j ON dp.conv_id IS NOT DISTINCT FROM j.conv_id AND j.i = dp.i + 1))),
+  ended AS (SELECT conv_id, {least("e", "a", one("u", 5, "I", "'assistant:'"),
+    "CASE WHEN s IS NOT NULL THEN {'c': s.c + 10, 'w': s.w || 'II', 'o': list_concat(s.o, ['user:', 'assistant:'])} END")} AS best
+    FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)
+  SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.w AS audit,
+    sha256(array_to_string(best.o, chr(10))) AS repaired_sha256
+  FROM ended d LEFT JOIN facts f ON d.conv_id IS NOT DISTINCT FROM f.conv_id"""
+
+
+ORACLES["op12_conversation_repair"] = _repair_sql()
