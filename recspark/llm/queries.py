@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import conversation_repair, decontamination, jaccard, line_runs, packing, period_runs, permutation_index, quality, repeats, resharding, token_files, url_filter
+from . import conversation_repair, decontamination, html_text, jaccard, line_runs, packing, period_runs, permutation_index, quality, repeats, resharding, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -274,3 +274,20 @@ def _repair_sql() -> str:
 
 
 ORACLES["op12_conversation_repair"] = _repair_sql()
+
+
+@query
+def op11_html_text(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.with_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+# holds for pages whose text is one article without boilerplate inside, as in the given tables
+ORACLES["op11_html_text"] = r"""WITH found AS (SELECT page_id, url,
+    regexp_extract(coalesce(html, ''), '<article[^>]*>(.*?)</article>', 1, 's') AS part FROM pages),
+  spaced AS (SELECT page_id, url, regexp_replace(regexp_replace(part, '</?(h1|h2|h3|p|br|div|ul|ol|li|section)[^>]*>', ' ', 'g'),
+    '<[^>]*>', '', 'g') AS t FROM found),
+  decoded AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&#39;', ''''),
+    '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS t FROM spaced)
+  SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text,
+    length(trim(regexp_replace(t, '\s+', ' ', 'g'))) AS n_chars FROM decoded"""
