@@ -16,6 +16,7 @@ is that class; repeated rows get equal scores; a column named like the new one i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -143,11 +144,12 @@ def train(
     return Model((vectors @ difference).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, max_entries: int = 1 << 24) -> Model:
     """Train on at most `max_rows` rows whose crc32(doc_id) mod 5 is not 0.
 
-    The rows are those with the smallest hash of doc_id. What reaches the driver is one bag
-    of bucket shares per row, so its size is bounded by `max_rows` and the bucket count.
+    The rows are those with the smallest hash of doc_id, in that order. One task trains: it keeps
+    a bag of at most one entry per bucket for each row, and leaves out a row whose bag would make
+    them more than `max_entries` (8 bytes each). Only the weights reach the driver.
     """
     label = F.col("quality").cast("int")
     sample = (
@@ -159,24 +161,25 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000) -> Model:
         .limit(max_rows)
     )
 
-    @arrow_udf("struct<buckets:array<int>,shares:array<float>>")
-    def bag(texts: pa.Array) -> pa.Array:
-        bags = feature_bags(texts)
-        parts = [
-            pa.array([b[0] for b in bags], pa.list_(pa.int32())),
-            pa.array([b[1] for b in bags], pa.list_(pa.float32())),
-        ]
-        return pa.StructArray.from_arrays(parts, ["buckets", "shares"])
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags, marks, entries = [], [], 0
+        for batch in batches:
+            for row in range(batch.num_rows):
+                (bag,) = feature_bags(batch.column("text").slice(row, 1))
+                if entries + len(bag[0]) <= max_entries:
+                    bags.append(bag)
+                    marks.append(batch.column("label")[row].as_py())
+                    entries += len(bag[0])
+        model = train(bags, np.array(marks, np.int64))
+        columns = [pa.array([model.weights.tobytes()]), pa.array([model.bias])]
+        yield pa.RecordBatch.from_arrays(columns, ["weights", "bias"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = rows.select("doc_id", "label", bag("text").alias("bag"), F.xxhash64("text").alias("tie"))
-    found = rows.select("doc_id", "tie", "label", "bag.buckets", "bag.shares").toArrow()
-    found = found.sort_by([("doc_id", "ascending"), ("tie", "ascending")])
-    bags = [
-        (np.asarray(b.values, np.int32), np.asarray(s.values, np.float32))
-        for b, s in zip(found["buckets"], found["shares"])
-    ]
-    return train(bags, np.asarray(found["label"], np.int64))
+    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    found = rows.select("text", "label").mapInArrow(trained, "weights binary, bias double").first()
+    if found is None:  # no task for no rows
+        return train([], np.zeros(0, np.int64))
+    return Model(np.frombuffer(found["weights"], np.float32), found["bias"])
 
 
 def held_out(doc_id: str):
