@@ -162,14 +162,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, max_entries: i
     )
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags, marks, entries = [], [], 0
+        # two large arrays, of which only what is filled takes memory
+        ids, shares = np.empty(max_entries, np.int32), np.empty(max_entries, np.float32)
+        marks, bounds = [], [0]
         for batch in batches:
             for row in range(batch.num_rows):
                 (bag,) = feature_bags(batch.column("text").slice(row, 1))
-                if entries + len(bag[0]) <= max_entries:
-                    bags.append(bag)
+                end = bounds[-1] + len(bag[0])
+                if end <= max_entries:
+                    ids[bounds[-1] : end], shares[bounds[-1] : end] = bag
                     marks.append(batch.column("label")[row].as_py())
-                    entries += len(bag[0])
+                    bounds.append(end)
+        bags = [(ids[a:b], shares[a:b]) for a, b in zip(bounds, bounds[1:])]
         model = train(bags, np.array(marks, np.int64))
         columns = [pa.array([model.weights.tobytes()]), pa.array([model.bias])]
         yield pa.RecordBatch.from_arrays(columns, ["weights", "bias"])
