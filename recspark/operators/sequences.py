@@ -119,7 +119,7 @@ def user_items(
     A list holds at most `chunk` items and longer histories go on in the next chunk,
     so that a user with a third of all rows does not become one cell in one task.
     """
-    profile = materialize(key_profile(df, [user], order_by[0]), "profile")
+    profile = materialize(key_profile(df, [user]), "profile")
     placed = running_sums(df, profile, [user], order_by, {"_place": F.lit(1)}, rows_per_task)
     chunked = placed.withColumn("chunk", F.floor(F.col("_place") / chunk).cast("int"))
     entries = F.array_sort(F.collect_list(F.struct("_place", F.col(item).alias("item"))))

@@ -8,13 +8,13 @@ at most `rows / rows_per_task` hot keys: that list may always be broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import takewhile
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.times import micros
 from ..storage import materialize
 
 ROWS_PER_TASK = 4_000_000
@@ -95,80 +95,37 @@ def attach_side(
     return attach(df, counted.withColumn("n", F.coalesce("n", F.lit(0))), on, "n", how, rows_per_task)
 
 
-def order_number(df: DataFrame, name: str) -> Column:
-    """The order column as a number, to cut its range into blocks."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return micros(df, name)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name)
-    return F.col(name) if isinstance(kind, T.NumericType) else F.col(name).cast("double")
+def key_profile(df: DataFrame, on: Sequence[str], *extra: Column) -> DataFrame:
+    """Per key: its rows `n`, and what `extra` asks."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"), *extra)
 
 
-def key_profile(df: DataFrame, on: Sequence[str], order: str, *extra: Column) -> DataFrame:
-    """Per key: rows, first and last value of the order column, and what `extra` asks."""
-    place = order_number(df, order)
-    return df.groupBy(*on).agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"), *extra
-    )
-
+def _same(left: str, right: str, on: Sequence[str]) -> Column:
+    """The keys agree; NULL is a key like others."""
+    return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in on])
 
-_BELOW = -1e300  # NULL sorts first
 
+def segments(
+    df: DataFrame, profile: DataFrame, on: Sequence[str], order_by: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> tuple[DataFrame, DataFrame | None]:
+    """`df` without the rows of hot keys, and those rows dealt out in order, or None.
 
-def _ordered_blocks(
-    df: DataFrame, hot: DataFrame, on: list[str], order_by: list[str], rows_per_task: int
-) -> DataFrame:
-    """Add `_path`: blocks of the rows of hot keys, whose order agrees with `order_by`.
-
-    `hot` has `n`, `lo`, `hi` of the first order column. A block that is still large is
-    split again, along the first column that varies inside it, so a key whose rows crowd at
-    one time is split by the next column; columns behind one that is not a number are not
-    used. This goes on while it makes more blocks. Other rows have a NULL path.
+    The hot rows are range-partitioned by key and order columns, of whatever kind, and written
+    once with the number of their partition as `_segment`. A segment of a key holds about
+    `rows_per_task / 2` rows, and all its rows stand before those of the key's next segment, so
+    what runs along the order needs one carry per segment. Only rows that agree in all order
+    columns cannot be parted.
     """
-    places = [order_number(df, c) for c in takewhile(lambda c: _has_number(df, c), order_by)]
-    values = [F.coalesce(p.cast("double"), F.lit(_BELOW)) for p in places]
-    heavy = hot.select(
-        *on,
-        F.array().cast("array<int>").alias("_path"),
-        F.lit(0).alias("_by"),
-        F.coalesce(F.col("lo").cast("double"), F.lit(_BELOW)).alias("_lo"),
-        F.coalesce(F.col("hi").cast("double"), F.lit(_BELOW)).alias("_hi"),
-        F.col("n").alias("_rows"),
-    )
-    marked = hot.select(*on, F.array().cast("array<int>").alias("_path"))
-    cut = df.join(F.broadcast(marked), on, "left")
-    made = 0
-    while True:
-        blocks = F.ceil(4 * F.col("_rows") / F.lit(rows_per_task)).cast("int")
-        place = F.coalesce(*[F.when(F.col("_by") == i, v) for i, v in enumerate(values)])
-        share = F.greatest(F.try_divide(place - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0))
-        block = F.least(F.floor(share * blocks), blocks - 1).cast("int")
-        split = cut.join(F.broadcast(heavy), [*on, "_path"], "left")
-        path = F.concat("_path", F.array(F.coalesce(block, F.lit(0))))
-        cut = split.withColumn("_path", path).select(*df.columns, "_path")
-        lows = F.array(*[F.min(v) for v in values]).alias("_lows")
-        highs = F.array(*[F.max(v) for v in values]).alias("_highs")
-        # compared as they are: large whole numbers may differ and yet share a double
-        differ = F.array(
-            *[(F.min(p) < F.max(p)) | (F.count(p).between(1, F.count(F.lit(1)) - 1)) for p in places]
-        ).alias("_differ")
-        sizes = cut.where(F.col("_path").isNotNull()).groupBy(*on, "_path")
-        sizes = materialize(sizes.agg(F.count(F.lit(1)).alias("_rows"), lows, highs, differ), "blocks")
-        varies = F.transform("_differ", lambda d: F.coalesce(d, F.lit(False)))
-        by = (F.array_position(varies, True) - 1).cast("int").alias("_by")
-        large = sizes.where(F.col("_rows") > rows_per_task).select(*on, "_path", by, "_lows", "_highs", "_rows")
-        split_by = [F.get("_lows", "_by").alias("_lo"), F.get("_highs", "_by").alias("_hi")]
-        heavy = large.where("_by >= 0").select(*on, "_path", "_by", *split_by, "_rows")
-        now = sizes.count()
-        if now == made or heavy.isEmpty():
-            return cut
-        made = now
-
-
-def _has_number(df: DataFrame, name: str) -> bool:
-    kinds = (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)
-    return isinstance(df.schema[name].dataType, kinds)
+    hot = profile.where(F.col("n") > rows_per_task).select(*on, "n")
+    total = hot.agg(F.sum("n")).first()[0]
+    if not total:
+        return df, None
+    # at most rows / rows_per_task keys
+    named, rows = F.broadcast(hot.select(*on)).alias("h"), df.alias("d")
+    cold = rows.join(named, _same("d", "h", on), "left_anti")
+    parts = -(-2 * total // rows_per_task)
+    laid = rows.join(named, _same("d", "h", on), "left_semi").repartitionByRange(parts, *on, *order_by)
+    return cold, materialize(laid.withColumn("_segment", F.spark_partition_id()), "segments")
 
 
 def running_sums(
@@ -181,40 +138,24 @@ def running_sums(
 ) -> DataFrame:
     """Sums over the earlier rows of the same key, in the order of `order_by`.
 
-    `profile` is a written `key_profile` of `df`. A hot key is cut into blocks along its
-    own order; each block is one window group, and the sums of the blocks before it are
-    added. Blocks follow the order columns up to the first that is not a number; if that is
-    the first of all, the key stays whole. Each round of splitting makes at most about
-    4 * rows / rows_per_task blocks, so their totals may be broadcast.
+    `profile` is a written `key_profile` of `df`. The rows of hot keys are summed within their
+    segments, and each (segment, key) adds one carry: the total of the segments before it.
+    There are at most segments + hot keys of these, so they are broadcast.
     """
     on, order_by = list(on), list(order_by)
-    hot = profile.where(F.col("n") > rows_per_task).select(*on, "n", "lo", "hi")
-    earlier = Window.partitionBy(*on).orderBy(*order_by)
-    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    if not _has_number(df, order_by[0]) or hot.isEmpty():
-        return df.select(
-            "*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(k) for k, c in sums.items()]
-        )
-    cut = _ordered_blocks(df, hot, on, order_by, rows_per_task)
-    totals = (
-        cut.where(F.col("_path").isNotNull())
-        .groupBy(*on, "_path")
-        .agg(*[F.sum(c).alias(f"_t_{k}") for k, c in sums.items()])
-    )
-    before = Window.partitionBy(*on).orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *on, "_path", *[F.sum(f"_t_{k}").over(before).alias(f"_o_{k}") for k in sums]
-    )
-    inside = Window.partitionBy(*on, "_path").orderBy(*order_by)
-    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    joined = cut.join(F.broadcast(offsets), [*on, "_path"], "left")
-    return joined.select(
-        *df.columns,
-        *[
-            (
-                F.coalesce(F.sum(c).over(inside), F.lit(0))
-                + F.coalesce(F.col(f"_o_{k}"), F.lit(0))
-            ).alias(k)
-            for k, c in sums.items()
-        ],
-    )
+
+    def within(rows: DataFrame, *group: str) -> DataFrame:
+        earlier = Window.partitionBy(*on, *group).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select("*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(k) for k, c in sums.items()])
+
+    cold, laid = segments(df, profile, on, order_by, rows_per_task)
+    if laid is None:
+        return within(cold)
+    totals = laid.groupBy(*on, "_segment").agg(*[F.sum(c).alias(k) for k, c in sums.items()])
+    before = Window.partitionBy(*on).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    carries = [F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"_c_{k}") for k in sums]
+    carry = F.broadcast(totals.select(*on, "_segment", *carries)).alias("c")
+    local = within(laid, "_segment").alias("d")
+    joined = local.join(carry, _same("d", "c", [*on, "_segment"]))
+    summed = joined.select(*[f"d.{c}" for c in df.columns], *[(F.col(f"d.{k}") + F.col(f"c._c_{k}")).alias(k) for k in sums])
+    return within(cold).unionByName(summed)

@@ -1,6 +1,6 @@
 """Target encodings that do not leak: one fitted table per training set, then joins.
 
-The fitted table has rows `(feature, number, key, n, total, lo, hi)`; the row with feature
+The fitted table has rows `(feature, number, key, n, total)`; the row with feature
 `*` covers all training rows and gives the prior.
 """
 
@@ -14,20 +14,17 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 from .counting import attach_feature
 from .keys import key_fields, key_text, keyed, present
-from .skew import ROWS_PER_TASK, attach, order_number, running_sums
+from .skew import ROWS_PER_TASK, attach, running_sums
 
 _ALL = "*"
 
 
-def fit_target(
-    train: DataFrame, keys: Sequence[str], target: str, order: str | None = None
-) -> DataFrame:
-    """Rows, target sum and order range per value of every key, from one scan."""
-    place = order_number(train, order) if order else F.lit(0)
+def fit_target(train: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """Rows and target sum per value of every key, from one scan."""
     whole = [F.lit(_ALL).alias("feature"), F.lit(0).cast("long").alias("number")]
     whole.append(F.lit(None).cast("string").alias("text"))
     entries = [
-        F.struct(*fields, F.col(target).alias("y"), place.alias("place"))
+        F.struct(*fields, F.col(target).alias("y"))
         for fields in [*(key_fields(train, k) for k in keys), whole]
     ]
     sums = (
@@ -37,10 +34,8 @@ def fit_target(
         .agg(
             F.count("y").alias("n"),
             F.sum("y").alias("total"),
-            F.min("place").alias("lo"),
-            F.max("place").alias("hi"),
         )
-        .select("feature", "number", key_text().alias("key"), "n", "total", "lo", "hi")
+        .select("feature", "number", key_text().alias("key"), "n", "total")
     )
     return materialize(sums, "target", partition_by=["feature"])
 

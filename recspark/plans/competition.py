@@ -60,7 +60,7 @@ def mean_features(
     train: DataFrame, test: DataFrame, target: str, order_by: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Expanding means for the training rows, training means for the others."""
-    fitted = fit_target(train, MEAN_KEYS, target, order=order_by[0])
+    fitted = fit_target(train, MEAN_KEYS, target)
     return (
         expanding_mean_train(train, fitted, MEAN_KEYS, target, order_by),
         mean_test(test, fitted, MEAN_KEYS, target),

@@ -55,7 +55,7 @@ def test_attach_side_finds_hot_keys_itself(log):
 
 def test_running_sums_in_blocks(log):
     present = log.where("key is not null")
-    profile = key_profile(present, ["key"], "ts")
+    profile = key_profile(present, ["key"])
     sums = {"before": F.col("y"), "place": F.lit(1)}
     blocked = running_sums(present, profile, ["key"], ["ts", "id"], sums, HOT)
     plain = running_sums(present, profile, ["key"], ["ts", "id"], sums)
@@ -74,23 +74,39 @@ def test_running_sums_when_rows_crowd(spark, crowd):
     times = {"same time": lambda i: 5, "few times": lambda i: i % 3, "far away": lambda i: 10**12 if i == 0 else i % 40}
     rows = [("hot" if i % 2 else f"k{i % 7}", times[crowd](i), 900 - i, i % 5) for i in range(900)]
     df = spark.createDataFrame(rows, "key string, ts long, id long, y int")
-    profile = key_profile(df, ["key"], "ts")
+    profile = key_profile(df, ["key"])
     blocked = running_sums(df, profile, ["key"], ["ts", "id"], {"s": F.col("y")}, HOT)
     plain = running_sums(df, profile, ["key"], ["ts", "id"], {"s": F.col("y")})
     assert rows_of(blocked, "id", "s") == rows_of(plain, "id", "s")
 
 
-def test_crowded_rows_are_split_by_the_next_column(spark):
-    from recspark.operators.skew import _ordered_blocks
+@pytest.mark.parametrize("order_by", [["ts", "id"], ["name", "id"], ["same", "name"]])
+def test_no_segment_holds_a_whole_hot_key(spark, order_by):
+    rows = [("hot" if i % 4 else None, 5, i, f"n{i % 200:03d}{i}", "x") for i in range(1000)]
+    df = spark.createDataFrame(rows, "key string, ts long, id long, name string, same string")
+    cold, laid = skew.segments(df, key_profile(df, ["key"]), ["key"], order_by, 100)
+    assert cold.isEmpty()
+    sizes = {(r.key, r["_segment"]): r["count"] for r in laid.groupBy("key", "_segment").count().collect()}
+    assert sum(sizes.values()) == 1000 and max(sizes.values()) <= 100
+    # all rows of a segment stand before those of the next one
+    ends = {}
+    for r in laid.collect():
+        ends.setdefault((r.key or "", r["_segment"]), []).append(tuple(r[c] for c in order_by))
+    last = sorted(ends)
+    for a, b in zip(last, last[1:]):
+        assert a[0] != b[0] or max(ends[a]) < min(ends[b])
 
-    df = spark.createDataFrame([("hot", 5, i) for i in range(1000)], "key string, ts long, id long")
-    hot = key_profile(df, ["key"], "ts")
-    sizes = _ordered_blocks(df, hot, ["key"], ["ts", "id"], 100).groupBy("_path").count().collect()
-    assert max(r["count"] for r in sizes) <= 100
+
+def test_the_log_is_shuffled_once_for_cold_and_twice_for_hot_keys(log):
+    profile = key_profile(log, ["key"])
+    plain = running_sums(log, profile, ["key"], ["ts", "id"], {"s": F.col("y")})
+    text = plain._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Window" in text
+    assert "_segment" not in text
 
 
 def test_target_encodings_split_equals_plain(log):
-    fitted = target.fit_target(log, ["key", "item"], "y", order="ts")
+    fitted = target.fit_target(log, ["key", "item"], "y")
     folded = log.withColumn("fold", (F.col("id") % 5).cast("int"))
     by_fold = target.fit_fold_target(folded, ["key"], "y", "fold")
     for rows in (HOT, 10**9):
@@ -108,7 +124,7 @@ def test_target_encodings_split_equals_plain(log):
 
 
 def test_rows_without_key_get_the_prior(log):
-    fitted = target.fit_target(log, ["key"], "y", order="ts")
+    fitted = target.fit_target(log, ["key"], "y")
     prior = target.prior(fitted)
     means = target.expanding_mean_train(log, fitted, ["key"], "y", ["ts", "id"], HOT)
     missing = {r.key_y_mean for r in means.where("key is null").collect()}
@@ -119,7 +135,7 @@ def test_rows_without_key_get_the_prior(log):
 def test_expanding_mean_ignores_own_and_later_rows(spark):
     rows = [(1, "a", 1), (2, "a", 0), (3, "a", 1), (4, "b", 1)]
     df = spark.createDataFrame(rows, "ts long, key string, y int")
-    fitted = target.fit_target(df, ["key"], "y", order="ts")
+    fitted = target.fit_target(df, ["key"], "y")
     means = target.expanding_mean_train(df, fitted, ["key"], "y", ["ts"])
     assert {r.ts: r.key_y_mean for r in means.collect()} == {1: 0.75, 2: 1.0, 3: 0.5, 4: 0.75}
 
@@ -245,7 +261,7 @@ def test_running_sums_with_crowded_text_and_null_order(spark, order_by):
         ts = None if i % 9 == 0 else rng.choice([5, 5, 5, i])
         rows.append((i, "hot" if i % 5 else "cold", ts, f"n{rng.randrange(60)}", 2**60 + rng.randrange(40), rng.choice([None, 0.5, 0.25]), rng.randrange(9)))
     df = spark.createDataFrame(rows, "id long, key string, ts long, name string, big long, half double, y long")
-    got = running_sums(df, key_profile(df, ["key"], order_by[0]), ["key"], order_by, {"s": F.col("y")}, HOT)
+    got = running_sums(df, key_profile(df, ["key"]), ["key"], order_by, {"s": F.col("y")}, HOT)
     wanted = _brute_sums(df.collect(), lambda r: [(r[c] is not None, r[c] if r[c] is not None else 0) for c in order_by])
     assert {r["id"]: r["s"] for r in got.collect()} == wanted
 
