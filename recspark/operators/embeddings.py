@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -10,7 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import as_doubles, cosine, dot, l2_normalize, zeros
+from ..functions.vectors import cosine, l2_normalize, zeros
 from .skew import ROWS_PER_TASK, attach, attach_side
 
 
@@ -114,63 +114,3 @@ def vector_rows(
     exploded = df.select(*key, F.posexplode(tokens).alias("pos", on))
     joined = attach(exploded, vectors, [on], rows_per_task=rows_per_task)
     return joined.select(*key, "pos", on, F.coalesce("vector", zeros(size)).alias("vector"))
-
-
-def _total(entries: Column, weigh: Callable[[Column, Column], Column]) -> Column:
-    """Sum of the vectors `v` of a list of entries, each component through `weigh`."""
-    nothing = F.transform(F.get(entries, 0)["v"], lambda x: F.lit(0.0))
-    return F.aggregate(
-        entries, nothing, lambda acc, e: F.zip_with(acc, e["v"], lambda x, y: x + weigh(y, e))
-    )
-
-
-def pooled(
-    positions: DataFrame, key: Sequence[str], item: str = "id", vector: str = "vector"
-) -> DataFrame:
-    """`(key.., mean, masked_mean)`: mean vector of the positions of each row.
-
-    The plain mean counts padding too, the masked one only ids other than 0 (NULL when
-    there are none). A group is one row's padded list, so it is small.
-    """
-    entry = F.struct(F.col(item).alias("i"), as_doubles(F.col(vector)).alias("v"))
-    listed = positions.groupBy(*key).agg(F.collect_list(entry).alias("_e"))
-    listed = listed.withColumn("_r", F.filter("_e", lambda e: e["i"] != 0))
-
-    def mean(name: str) -> Column:
-        size = F.size(name)
-        total = _total(F.col(name), lambda x, e: x)
-        return F.when(size > 0, F.transform(total, lambda x: x / size))
-
-    return listed.select(*key, mean("_e").alias("mean"), mean("_r").alias("masked_mean"))
-
-
-def attention_pooled(
-    positions: DataFrame,
-    key: Sequence[str],
-    pos: str,
-    item: str,
-    vector: str,
-    score: Column,
-) -> DataFrame:
-    """Softmax-weighted sum of the vectors of each row's positions.
-
-    Positions with id 0 get no weight; a row of padding only weighs all equally. A row
-    has one position per entry of its padded history, so a group is small.
-    """
-    from ..functions.arrays import masked_softmax
-
-    entry = F.struct(
-        F.col(pos), F.col(item).alias("i"), F.col(vector).alias("v"), score.alias("s")
-    )
-    listed = positions.groupBy(*key).agg(F.array_sort(F.collect_list(entry)).alias("_e"))
-    weights = masked_softmax(
-        F.transform("_e", lambda e: e["s"]), F.transform("_e", lambda e: e["i"])
-    )
-    listed = listed.withColumn("weights", weights)
-    pairs = F.zip_with("_e", "weights", lambda e, w: F.struct(e["v"].alias("v"), w.alias("w")))
-    total = _total(F.col("_p"), lambda x, p: x * p["w"])
-    return listed.withColumn("_p", pairs).select(*key, "weights", total.alias(vector))
-
-
-def dot_score(query: str, vector: str) -> Column:
-    return dot(F.col(query), F.col(vector))

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import arrays
-from ..operators import embeddings, encoding, metrics, profiling, ranking, search, skew
+from ..operators import encoding, metrics, pooling, profiling, ranking, search
 from ..plans import competition, recall
 from ..session import table
 from ..storage import materialize
@@ -82,14 +82,11 @@ PADDED = f"""{EARLIER}, padded AS (SELECT event_id, item_id AS target, list_resi
   cells AS (SELECT event_id, target, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM padded)"""
 
 
-def _positions(spark, d):
-    padded = arrays.pad(F.col("items"), 5)
-    rows = _recent(spark, d, 5).select("event_id", "item_id", padded.alias("ids"))
-    cells = rows.select("event_id", F.col("item_id").alias("target"), F.posexplode("ids").alias("pos", "id"))
-    vectors = table(spark, d, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector")
-    )
-    return skew.attach_side(cells, vectors, ["id"]), vectors
+def _padded(spark, d):
+    """The padded histories, and the vector table."""
+    rows = _recent(spark, d, 5).select("event_id", F.col("item_id").alias("target"), arrays.pad(F.col("items"), 5).alias("ids"))
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return rows, vectors
 
 
 @query(
@@ -100,8 +97,8 @@ def _positions(spark, d):
     FROM cells JOIN v ON v.vec_id = id GROUP BY 1""",
 )
 def n4(spark, d):
-    cells, _ = _positions(spark, d)
-    both = embeddings.pooled(cells, ["event_id"])
+    rows, vectors = _padded(spark, d)
+    both = pooling.pooled_lists(rows, ["event_id"], "ids", vectors)
     return both.select(
         "event_id",
         r6(F.get("mean", 0)).alias("plain_first"),
@@ -111,6 +108,25 @@ def n4(spark, d):
     )
 
 
+@query(
+    "n4_weighted_history",
+    f"""WITH {VECTORS}, {PADDED}, real AS (SELECT event_id, e, exp(0.25 * pos) AS power
+      FROM cells JOIN v ON v.vec_id = id WHERE id <> 0),
+    t AS (SELECT event_id, sum(power) AS total, count(*) AS n FROM real GROUP BY 1),
+    s AS (SELECT event_id, sum(e[1] * power / total) / any_value(n) AS first, sum(e[64] * power / total) / any_value(n) AS last
+      FROM real JOIN t USING (event_id) GROUP BY 1)
+    SELECT event_id, round(first, 6) AS first, round(last, 6) AS last
+    FROM padded LEFT JOIN s USING (event_id)""",
+)
+def n4_weighted(spark, d):
+    """Later positions weigh more: the softmax of a weight that grows with the position."""
+    rows, vectors = _padded(spark, d)
+    rows = rows.withColumn("w", F.transform("ids", lambda x, i: 0.25 * (i + 1)))
+    both = pooling.pooled_lists(rows, ["event_id"], "ids", vectors, weight="w")
+    weighted = F.col("weighted_mean")
+    return both.select("event_id", r6(F.get(weighted, 0)).alias("first"), r6(F.get(weighted, 63)).alias("last"))
+
+
 @query(
     "n5_attention_pooled",
     f"""WITH {VECTORS}, {PADDED}, s AS (SELECT event_id, id, pos, k.e,
@@ -123,11 +139,8 @@ def n4(spark, d):
       round(max(power / total), 6) AS top_weight FROM w JOIN t USING (event_id) GROUP BY 1""",
 )
 def n5(spark, d):
-    cells, vectors = _positions(spark, d)
-    targets = vectors.select(F.col("id").alias("target"), F.col("vector").alias("query"))
-    cells = skew.attach_side(cells, targets, ["target"])
-    score = embeddings.dot_score("query", "vector")
-    pooled = embeddings.attention_pooled(cells, ["event_id"], "pos", "id", "vector", score)
+    rows, vectors = _padded(spark, d)
+    pooled = pooling.attended_lists(rows, ["event_id"], "ids", "target", vectors)
     return pooled.select(
         "event_id",
         r6(F.get("vector", 0)).alias("first"),
