@@ -14,8 +14,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from ..storage import materialize
 
@@ -91,33 +93,37 @@ def _cell(k: int, scores_of: Scores, sign: float, unit: bool = False):
     return run
 
 
-def _cells(q: DataFrame, v: DataFrame):
+def _cells(q: DataFrame, v: DataFrame, query_extra: tuple[str, ...] = (), item_extra: tuple[str, ...] = ()):
     """Both sides grouped by cell, each repeated for the blocks of the other side.
 
-    Both have the columns `cluster`, `query_blocks` and `item_blocks`.
+    Both have the columns `cluster`, `query_blocks` and `item_blocks`; extra columns go along.
     """
     place = ["cluster", "query_block", "item_block"]
 
-    def grouped(side: DataFrame, own: str, other: str):
+    def grouped(side: DataFrame, own: str, other: str, extra: tuple[str, ...]):
         number = F.pmod(F.xxhash64(f"{own}_id"), F.col(f"{own}_blocks")).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
         cells = side.withColumn(f"{own}_block", number).withColumn(f"{other}_block", every)
-        return cells.select(*place, f"{own}_id", f"{own}_vec").groupBy(*place)
+        return cells.select(*place, f"{own}_id", f"{own}_vec", *extra).groupBy(*place)
 
-    return grouped(q, "query", "item"), grouped(v, "item", "query")
+    return grouped(q, "query", "item", query_extra), grouped(v, "item", "query", item_extra)
 
 
-def _with_block_counts(q: DataFrame, v: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
-    """Add the blocks of the cluster on both sides; at most MAX_LISTS rows are broadcast."""
+def _with_block_counts(pairs: DataFrame, q: DataFrame, v: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Route the queries to the lists of `pairs`, and add the blocks of each list to both sides.
+
+    Only the written pairs are counted; a query's vector meets them in the join before the
+    cells. At most MAX_LISTS rows are broadcast.
+    """
 
     def blocks(side: DataFrame, name: str) -> DataFrame:
         number = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int")
         return side.groupBy("cluster").agg(number.alias(f"{name}_blocks"))
 
     # only the probed lists are read, as whole folders; there are at most MAX_LISTS of them
-    v = v.join(F.broadcast(q.select("cluster").distinct()), "cluster", "left_semi")
-    sizes = F.broadcast(blocks(q, "query").join(blocks(v, "item"), "cluster"))
-    return q.join(sizes, "cluster"), v.join(sizes, "cluster")
+    v = v.join(F.broadcast(pairs.select("cluster").distinct()), "cluster", "left_semi")
+    sizes = F.broadcast(blocks(pairs, "query").join(blocks(v, "item"), "cluster"))
+    return q.join(pairs, "query_id").join(sizes, "cluster"), v.join(sizes, "cluster")
 
 
 def _ranked(scored: DataFrame, k: int, ascending: bool) -> DataFrame:
@@ -209,25 +215,39 @@ def _matrix(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=np.float64)
 
 
-def nearest_clusters(df: DataFrame, vec: str, centroids: DataFrame, probes: int) -> Column:
-    """The `probes` nearest clusters of a vector, nearest first, ties by cluster id."""
+def _near(df: DataFrame, vec: str, centroids: DataFrame, probes: int) -> Column:
+    """The `probes` nearest clusters of a vector and their squared distances, nearest first."""
     names, matrix = _matrix(centroids)
     shared = df.sparkSession.sparkContext.broadcast((names, matrix))
 
-    @F.pandas_udf("array<int>")
-    def clusters(vectors: pd.Series) -> pd.Series:
+    @arrow_udf("array<struct<cluster:int,distance:double>>")
+    def clusters(vectors: pa.Array) -> pa.Array:
         labels, centres = shared.value
-        out = []
+        found, distances = [], []
         for start in range(0, len(vectors), STRIP):
-            part = np.stack(vectors.iloc[start : start + STRIP].to_numpy()).astype(np.float64)
-            scores = np.round(_minus_l2(part, centres), _PLACES)
-            nearest = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
-            out.extend(labels[nearest].astype(np.int32).tolist())
-        return pd.Series(out)
+            part = _rows_of(vectors[start : start + STRIP])
+            scores = _minus_l2(part, centres)
+            nearest = np.argsort(-np.round(scores, _PLACES), axis=1, kind="stable")[:, :probes]
+            found.append(labels[nearest].ravel())
+            distances.append(-np.take_along_axis(scores, nearest, axis=1).ravel())
+        width = min(probes, len(labels))
+        columns = [pa.array(np.concatenate([*c, np.zeros(0)]), t) for c, t in ((found, pa.int32()), (distances, pa.float64()))]
+        entries = pa.StructArray.from_arrays(columns, ["cluster", "distance"])
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(vectors) + 1) * width, pa.int32()), entries)
 
     return clusters(F.col(vec))
 
 
+def _rows_of(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+
+
+def nearest_clusters(df: DataFrame, vec: str, centroids: DataFrame, probes: int) -> Column:
+    """The `probes` nearest clusters of a vector, nearest first, ties by cluster id."""
+    return F.transform(_near(df, vec, centroids, probes), lambda n: n["cluster"])
+
+
 def build_lists(items: DataFrame, item_id: str, item_vec: str, centroids: DataFrame) -> DataFrame:
     """`(item_id, item_vec, cluster)`: every item in the list of its nearest centroid.
 
@@ -241,14 +261,14 @@ def build_lists(items: DataFrame, item_id: str, item_vec: str, centroids: DataFr
     return materialize(v.withColumn("cluster", nearest), "lists", partition_by=["cluster"])
 
 
-def probe(queries: DataFrame, query_id: str, query_vec: str, centroids: DataFrame, probes: int):
-    """One row per query and probed cluster, written because it is counted and then searched."""
-    q = queries.select(
-        F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("query_vec")
-    )
-    q = q.where("query_vec IS NOT NULL")
-    clusters = nearest_clusters(q, "query_vec", centroids, probes)
-    return materialize(q.withColumn("cluster", F.explode(clusters)), "probes")
+def probe(queries: DataFrame, query_id: str, query_vec: str, centroids: DataFrame, probes: int) -> DataFrame:
+    """`(query_id, cluster, distance)`: one row per query and probed cluster, without vectors.
+
+    Written, because the pairs are counted and then searched. Query ids are unique.
+    """
+    q = _side(queries, "query", query_id, query_vec)
+    near = _near(q, "query_vec", centroids, probes)
+    return materialize(q.select("query_id", F.inline(near)), "probes")
 
 
 def list_topk(
@@ -262,8 +282,9 @@ def list_topk(
     block: int = BLOCK,
 ) -> DataFrame:
     """Squared-distance top-k among the items of the probed lists; all lists give exact search."""
-    probed = probe(queries, query_id, query_vec, centroids, probes)
-    return _search(*_with_block_counts(probed, lists, block), k, "l2")
+    pairs = probe(queries, query_id, query_vec, centroids, probes)
+    q = _side(queries, "query", query_id, query_vec)
+    return _search(*_with_block_counts(pairs, q, lists, block), k, "l2")
 
 
 def split_vector(vec: Column, parts: int, size: int) -> list[Column]:
@@ -277,10 +298,12 @@ def train_codebooks(
 ) -> DataFrame:
     """`(part, code, word)`: k-means words for each slice of the (residual) vectors."""
     source = _residuals(lists, centroids) if centroids is not None else lists
-    pieces = split_vector(F.col("item_vec"), parts, size)
+    # written once as single floats, a column per part, so each training reads its own slice
+    pieces = [p.cast("array<float>").alias(f"part{i}") for i, p in enumerate(split_vector(F.col("item_vec"), parts, size))]
+    source = materialize(source.select(*pieces), "slices")
 
     def train(part: int) -> DataFrame:
-        words = centroids_of(source.select(pieces[part].alias("piece")), "piece", codes, seed)
+        words = centroids_of(source, f"part{part}", codes, seed)
         number = F.lit(part).alias("part")
         return words.select(number, F.col("cluster").alias("code"), F.col("centroid").alias("word"))
 
@@ -303,21 +326,66 @@ def _books(codebooks: DataFrame) -> np.ndarray:
 
 
 def quantise(lists: DataFrame, codebooks: DataFrame, centroids: DataFrame | None = None) -> DataFrame:
-    """`(item_id, codes, cluster)`: the nearest word of each slice, ties by code."""
-    source = _residuals(lists, centroids) if centroids is not None else lists
+    """`(item_id, codes, own, cluster)`: the nearest word w of each slice of a vector or, with
+    `centroids`, of its difference from its centroid c; ties by code.
+
+    `own` is the part of a squared distance that no query changes: |w|^2, plus 2 c w with `centroids`.
+    """
+    joined = lists.join(F.broadcast(centroids), "cluster") if centroids is not None else lists  # at most MAX_LISTS rows
     shared = lists.sparkSession.sparkContext.broadcast(_books(codebooks))
 
-    @F.pandas_udf("array<int>")
-    def codes(vectors: pd.Series) -> pd.Series:
+    def coded(v: np.ndarray, centre: np.ndarray | float) -> pa.Array:
         books = shared.value
-        v = np.stack(vectors.to_numpy()).astype(np.float64).reshape(len(vectors), books.shape[0], -1)
-        best = [
-            np.argmax(np.round(_minus_l2(v[:, part], books[part]), _PLACES), axis=1)
-            for part in range(books.shape[0])
-        ]
-        return pd.Series(np.stack(best, axis=1).astype(np.int32).tolist())
+        pieces = (v - centre).reshape(len(v), books.shape[0], -1)
+        best = [np.argmax(np.round(_minus_l2(pieces[:, p], books[p]), _PLACES), axis=1) for p in range(books.shape[0])]
+        words = np.concatenate([books[p][b] for p, b in enumerate(best)], axis=1)
+        own = (words * words).sum(1) + 2 * (words * centre).sum(1)
+        offsets = pa.array(np.arange(len(v) + 1) * books.shape[0], pa.int32())
+        codes = pa.ListArray.from_arrays(offsets, pa.array(np.stack(best, axis=1).ravel(), pa.int32()))
+        return pa.StructArray.from_arrays([codes, pa.array(own)], ["codes", "own"])
+
+    kind = "struct<codes:array<int>,own:double>"
+    if centroids is None:
+
+        @arrow_udf(kind)
+        def described(vectors: pa.Array) -> pa.Array:
+            return coded(_rows_of(vectors), 0.0)
+
+        found = described("item_vec")
+    else:
 
-    return source.select("item_id", codes("item_vec").alias("codes"), "cluster")
+        @arrow_udf(kind)
+        def described(vectors: pa.Array, centres: pa.Array) -> pa.Array:
+            return coded(_rows_of(vectors), _rows_of(centres))
+
+        found = described("item_vec", "centroid")
+    return joined.select("item_id", found.alias("_c"), "cluster").select("item_id", "_c.codes", "_c.own", "cluster")
+
+
+def _coded_cell(k: int, shared, residual: bool):
+    def run(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
+        books = shared.value
+        items = items.sort_values("item_id")  # ties go to the least id
+        ids, own = items["item_id"].to_numpy(), items["own"].to_numpy()
+        codes = np.stack(items["item_vec"].to_numpy()).astype(np.int64) if len(items) else None
+        parts = []
+        for start in range(0, len(queries) if len(items) else 0, STRIP):
+            some = queries.iloc[start : start + STRIP]
+            q = np.stack(some["query_vec"].to_numpy()).astype(np.float64)
+            # products of each query's slices with all words; no list changes them
+            products = np.einsum("qpw,pcw->pqc", q.reshape(len(q), books.shape[0], -1), books)
+            base = some["distance"].to_numpy() if residual else (q * q).sum(1)
+            scores = -(base[:, None] + own[None, :])
+            for part, table in enumerate(products):
+                scores += 2 * table[:, codes[:, part]]
+            row, column = _best(np.minimum(scores, 0.0, out=scores), k)
+            parts.append((some["query_id"].to_numpy()[row], ids[column], -scores[row, column]))
+        columns = ("query_id", "item_id", "score")
+        if not parts:
+            return pd.DataFrame({c: [] for c in columns})
+        return pd.DataFrame({c: np.concatenate(p) for c, p in zip(columns, zip(*parts))})
+
+    return run
 
 
 def quantised_topk(
@@ -332,27 +400,18 @@ def quantised_topk(
     query_vec: str = "query_vec",
     block: int = BLOCK,
 ) -> DataFrame:
-    """Approximate squared-distance top-k from codes: per query one table of word distances."""
-    probed = probe(queries, query_id, query_vec, centroids, probes)
-    if residual:
-        joined = probed.join(F.broadcast(centroids), "cluster")  # at most MAX_LISTS rows
-        shifted = F.zip_with("query_vec", "centroid", lambda x, c: x - c)
-        probed = joined.select("query_id", shifted.alias("query_vec"), "cluster")
-    shared = queries.sparkSession.sparkContext.broadcast(_books(codebooks))
+    """Approximate squared-distance top-k from codes.
 
-    def scores_of(q: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        books = shared.value
-        pieces = q.reshape(len(q), books.shape[0], -1)
-        total = np.zeros((len(q), len(codes)))
-        for part, book in enumerate(books):
-            total += _minus_l2(pieces[:, part], book)[:, codes[:, part].astype(np.int64)]
-        return total
-
-    coded = coded.withColumnRenamed("codes", "item_vec")
-    left, right = _cells(*_with_block_counts(probed, coded, block))
-    scored = left.cogroup(right).applyInPandas(
-        _cell(k, scores_of, -1.0), _out_schema(probed, coded)
-    )
+    A distance falls into the query's to the centroid (known from probing), the item's own part
+    and products of the query's slices with words, which are the same for all its lists. So
+    neither queries nor words are shifted for each list of residual codes.
+    """
+    pairs = probe(queries, query_id, query_vec, centroids, probes)
+    shared = queries.sparkSession.sparkContext.broadcast(_books(codebooks))
+    q = _side(queries, "query", query_id, query_vec)
+    q, v = _with_block_counts(pairs, q, coded.withColumnRenamed("codes", "item_vec"), block)
+    left, right = _cells(q, v, ("distance",), ("own",))
+    scored = left.cogroup(right).applyInPandas(_coded_cell(k, shared, residual), _out_schema(q, v))
     return _ranked(scored, k, ascending=True)
 
 

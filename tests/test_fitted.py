@@ -97,6 +97,37 @@ def test_trained_codes_are_the_nearest_words(vectors):
     assert all(len(r["word"]) == 16 for r in books)
 
 
+@pytest.mark.parametrize("residual", [True, False])
+def test_code_scores_are_distances_to_decoded_vectors(vectors, residual):
+    centroids = search.centroids_of(vectors, "embedding", 4)
+    lists = search.build_lists(vectors, "vec_id", "embedding", centroids)
+    given = centroids if residual else None
+    books = search.train_codebooks(lists, 4, 64, 6, given)
+    coded = search.quantise(lists, books, given)
+    words = {(r["part"], r["code"]): np.array(r["word"]) for r in books.collect()}
+    centres = {r["cluster"]: np.array(r["centroid"]) for r in centroids.collect()}
+    decoded = {}
+    for r in coded.collect():
+        decoded[r["item_id"]] = np.concatenate([words[p, c] for p, c in enumerate(r["codes"])]) + (centres[r["cluster"]] if residual else 0)
+    found = search.quantised_topk(vectors, coded, books, centroids, 5, 2, residual, "vec_id", "embedding", block=30).collect()
+    by_id = _matrix(vectors)
+    assert {r["query_id"] for r in found} == set(by_id)
+    for r in found:
+        assert abs(((by_id[r["query_id"]] - decoded[r["item_id"]]) ** 2).sum() - r["score"]) < 1e-6
+    probed = {}
+    for r in search.probe(vectors, "vec_id", "embedding", centroids, 2).collect():
+        distance = ((by_id[r["query_id"]] - centres[r["cluster"]]) ** 2).sum()
+        assert abs(distance - r["distance"]) < 1e-6
+        probed.setdefault(r["query_id"], []).append(distance)
+    every = {q: sorted(((v - c) ** 2).sum() for c in centres.values())[:2] for q, v in by_id.items()}
+    assert all(np.allclose(sorted(probed[q]), every[q]) for q in by_id)
+
+
+def test_probing_writes_no_vector(vectors):
+    centroids = search.centroids_of(vectors, "embedding", 4)
+    assert search.probe(vectors, "vec_id", "embedding", centroids, 2).columns == ["query_id", "cluster", "distance"]
+
+
 def test_item_vectors_are_close_for_words_that_share_contexts(spark):
     rows = [(["red", a, "shoe"],) for a in ("big", "small") for _ in range(60)] + [(["sun", a, "sky"],) for a in ("hot", "cold") for _ in range(60)]
     sentences = spark.createDataFrame(rows, "w array<string>")
