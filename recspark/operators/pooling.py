@@ -195,6 +195,31 @@ def attended_lists(rows: DataFrame, key: Sequence[str], ids: str, target: str, v
     return found.withColumns({f: F.col("_attended")[f] for f in ("weights", "vector")}).drop("_attended")
 
 
+def weighted_sums(rows: DataFrame, key: Sequence[str], ids: str, weight: str, vectors: DataFrame, limit: int = LOOKUP_BYTES) -> DataFrame:
+    """`(key.., vector)`: the sum of the vectors of a list times the weights beside it; a row
+    without any vector has NULL. As id 0 is padding elsewhere, so it is here."""
+    table = lookup(vectors, limit=limit)
+    if table is None:
+        cells = _met(rows, key, ids, vectors, F.col(weight).alias("_w"))
+        cells = cells.withColumn("_w", F.get("_w", F.col("_pos")))
+        sums = _sums(cells, key, F.col("_w"), F.col("_id") != 0, "vector").drop("_n")
+        return rows.select(*key).join(sums, list(key), "left")
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    @arrow_udf("array<double>")
+    def summed(lists: pa.Array, weights: pa.Array) -> pa.Array:
+        own, sums, some = shared.value, [], []
+        for first, count, row, found in _batches(lists):
+            at, known = own.find(found)
+            known &= found != 0
+            share = weights[first : first + count].flatten().to_numpy(zero_copy_only=False)[known]
+            sums.append(_row_sums(own.matrix[at[known]] * share[:, None], row[known], count))
+            some.append(np.bincount(row[known], minlength=count) > 0)
+        return _vectors(sums, some)
+
+    return rows.select(*key, summed(ids, F.col(weight).cast("array<double>")).alias("vector"))
+
+
 def _met(rows: DataFrame, key: Sequence[str], ids: str, vectors: DataFrame, *extra: Column) -> DataFrame:
     """`(key.., _pos, _id, _v, extra..)` of positions whose id has a vector."""
     cells = rows.select(*key, F.posexplode(ids).alias("_pos", "_id"), *extra).withColumn("_id", F.coalesce("_id", F.lit(0)))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import arrays, text
-from ..operators import embeddings, sequences
+from ..operators import cooccurrence, embeddings, sequences, skew
 from ..session import table
 from ..storage import materialize
 from .base import CLICKS, clicks, query, r6
@@ -196,3 +196,56 @@ def i7(spark, d):
     sentences = lists.select(F.col("items").cast("array<string>").alias("items"))
     vectors = embeddings.train_vectors(sentences, "items", size=32, window=5, min_count=5)
     return vectors.select(F.col("token").cast("long").alias("item_id"), F.size("vector").alias("size"))
+
+
+WINDOW = 3
+
+
+@query(
+    "i7_item_information",
+    f"""WITH {CLICKS}, placed AS (SELECT uid, item_id, row_number() OVER (PARTITION BY uid ORDER BY us, event_id) AS pos
+      FROM clicks WHERE item_id IS NOT NULL),
+    near AS (SELECT x.item_id AS a, y.item_id AS b FROM placed x JOIN placed y
+      ON x.uid = y.uid AND y.pos - x.pos BETWEEN 1 AND {WINDOW}),
+    counted AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM near UNION ALL SELECT b, a FROM near) GROUP BY 1, 2),
+    margin AS (SELECT a, sum(n) AS m FROM counted GROUP BY 1), t AS (SELECT sum(n) AS total FROM counted)
+    SELECT c.a, c.b, CAST(n AS BIGINT) AS n, round(ln(n * CAST(total AS DOUBLE) / (CAST(x.m AS DOUBLE) * y.m)), 6) AS weight
+    FROM counted c JOIN margin x ON x.a = c.a JOIN margin y ON y.a = c.b CROSS JOIN t
+    WHERE ln(n * CAST(total AS DOUBLE) / (CAST(x.m AS DOUBLE) * y.m)) > 0""",
+)
+def i7_information(spark, d):
+    """Items that meet within three places of a user's history, and how much more than by chance."""
+    return _item_information(spark, d).select("a", "b", "n", r6("weight").alias("weight"))
+
+
+def _item_information(spark, d):
+    log = clicks(spark, d).where("item_id IS NOT NULL")
+    profile = materialize(skew.key_profile(log, ["uid"]), "profile")
+    placed = skew.running_sums(log, profile, ["uid"], ["us", "event_id"], {"pos": F.lit(1)})
+    counts = cooccurrence.position_pairs(placed.where("uid IS NOT NULL"), ["uid"], "pos", "item_id", WINDOW)
+    return cooccurrence.positive_information(materialize(counts, "pairs"))
+
+
+# with 32 numbers a vector; what SQL can say is which items have one
+@query("i7_information_vectors", f"""WITH {CLICKS} SELECT item_id, 32 AS size FROM clicks WHERE item_id IS NOT NULL GROUP BY 1""")
+def i7_vectors(spark, d):
+    vectors = cooccurrence.train_vectors(materialize(_item_information(spark, d), "weights"), 32, 4)
+    return vectors.select(F.col("token").alias("item_id"), F.size("vector").alias("size"))
+
+
+@query(
+    "i1_word_information",
+    f"""WITH words AS (SELECT string_split(text, ' ') AS w FROM conversations),
+    near AS (SELECT w[i] AS a, w[i + d] AS b FROM (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM words)
+      CROSS JOIN (SELECT unnest(range(1, {WINDOW + 1})) AS d) WHERE i + d <= len(w)),
+    counted AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM near UNION ALL SELECT b, a FROM near) GROUP BY 1, 2),
+    margin AS (SELECT a, sum(n) AS m FROM counted GROUP BY 1), t AS (SELECT sum(n) AS total FROM counted)
+    SELECT c.a, c.b, CAST(n AS BIGINT) AS n, round(ln(n * CAST(total AS DOUBLE) / (CAST(x.m AS DOUBLE) * y.m)), 6) AS weight
+    FROM counted c JOIN margin x ON x.a = c.a JOIN margin y ON y.a = c.b CROSS JOIN t
+    WHERE ln(n * CAST(total AS DOUBLE) / (CAST(x.m AS DOUBLE) * y.m)) > 0""",
+)
+def i1_information(spark, d):
+    talks = table(spark, d, "conversations").select(F.split("text", " ").alias("words"))
+    counts = materialize(cooccurrence.list_pairs(talks, "words", WINDOW), "pairs")
+    found = cooccurrence.positive_information(counts)
+    return found.select("a", "b", "n", r6("weight").alias("weight"))
