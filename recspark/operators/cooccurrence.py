@@ -63,7 +63,7 @@ def positive_information(counts: DataFrame, rows_per_task: int = ROWS_PER_TASK)
     return both.select("a", "b", "n", F.log(ratio).alias("weight")).where("weight > 0")
 
 
-def _gram(x: DataFrame, y: DataFrame | None, size: int) -> np.ndarray:
+def gram(x: DataFrame, y: DataFrame | None, size: int) -> np.ndarray:
     """X' X, or X' Y; one size x size matrix per partition reaches the driver's sum."""
     met = x.select(F.col("vector").alias("x"), F.col("vector").alias("y"))
     if y is not None:
@@ -118,7 +118,7 @@ def train_vectors(weights: DataFrame, size: int = 100, rounds: int = 8, limit: i
     # as written, so that the last product meets the same vectors
     x = materialize(x, "basis")
     y = materialize(weighted_sums(matrix, ["id"], "ids", "w", x, limit), "step")
-    values, turn = np.linalg.eigh(_gram(x, y, size))
+    values, turn = np.linalg.eigh(gram(x, y, size))
     order = np.argsort(-np.abs(values), kind="stable")[:kept]
     scaled = _turned(x, turn[:, order] * np.sqrt(np.abs(values[order])))
     return tokens.select("token", "id").join(scaled, "id").select("token", "vector")
@@ -126,6 +126,6 @@ def train_vectors(weights: DataFrame, size: int = 100, rounds: int = 8, limit: i
 
 def _orthonormal(y: DataFrame, size: int) -> DataFrame:
     """The same span with orthonormal columns; directions that vanish stay small and no more."""
-    values, turn = np.linalg.eigh(_gram(y, None, size))
+    values, turn = np.linalg.eigh(gram(y, None, size))
     least = max(values.max(), 1.0) * 1e-24
     return _turned(y, turn / np.sqrt(np.maximum(values, least)))

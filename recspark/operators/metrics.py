@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import cumulative
@@ -10,22 +12,49 @@ from .ordering import cumulative
 CLIP = 1e-15  # fixed value: probabilities are kept this far from 0 and 1
 
 
-def roc_auc(df: DataFrame, label: str, score: str, name: str = "auc") -> DataFrame:
-    """Exact area under the curve with ties; NULL when only one class occurs.
+def roc_aucs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """`(pair, auc)`, by the number of each (label, score) pair: exact areas under the curve with
+    ties, NULL when only one class occurs.
 
-    Labels are counted per distinct score before the shuffle, then summed up along the
-    global score order.
+    All pairs share one scan, one count per distinct score and one global order. Labels of one
+    score are columns of it; several scores follow each other in the order, and what stands
+    before a score's first row is taken off at the end.
     """
-    counts = df.groupBy(F.col(score).alias("s")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
-    )
-    placed = cumulative(counts, ["s"], {"below": F.col("neg")})
-    won = F.col("pos") * (F.col("below") + F.col("neg") / 2)
-    sums = placed.agg(
-        F.sum(won).alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    )
-    pairs = F.col("pos").cast("double") * F.col("neg")
-    return sums.select(F.try_divide(F.col("won"), F.nullif(pairs, F.lit(0.0))).alias(name))
+    scores = list(dict.fromkeys(score for _, score in pairs))
+    labels = [[label for label, own in pairs if own == score] for score in scores]
+    width = max(map(len, labels))
+    entries = [
+        F.struct(
+            F.lit(k).alias("k"),
+            F.col(score).cast("double").alias("s"),
+            *[(F.col(own[i]) if i < len(own) else F.lit(None)).cast("int").alias(f"y{i}") for i in range(width)],
+        )
+        for k, (score, own) in enumerate(zip(scores, labels))
+    ]
+    columns = range(width)
+    counts = df.select(F.inline(F.array(*entries))).groupBy("k", "s")
+    counted = [F.count_if(F.col(f"y{i}") == y).alias(f"{n}{i}") for i in columns for n, y in (("pos", 1), ("neg", 0))]
+    placed = cumulative(counts.agg(*counted), ["k", "s"], {f"below{i}": F.col(f"neg{i}") for i in columns})
+    won = [F.sum(F.col(f"pos{i}") * (F.col(f"below{i}") + F.col(f"neg{i}") / 2)).alias(f"won{i}") for i in columns]
+    sums = placed.groupBy("k").agg(*won, *[F.sum(f"{n}{i}").alias(f"{n}{i}") for i in columns for n in ("pos", "neg")])
+    # one row per score
+    earlier = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    areas = []
+    for i in columns:
+        before = F.coalesce(F.sum(f"neg{i}").over(earlier), F.lit(0))
+        pos = F.col(f"pos{i}").cast("double")
+        area = F.try_divide(F.col(f"won{i}") - pos * before, F.nullif(pos * F.col(f"neg{i}"), F.lit(0.0)))
+        areas.append(area.alias(f"auc{i}"))
+    found = sums.select("k", *areas)
+    numbers = {(k, i): pairs.index((label, score)) for k, (score, own) in enumerate(zip(scores, labels)) for i, label in enumerate(own)}
+    rows = df.sparkSession.createDataFrame([(n, k, i) for (k, i), n in numbers.items()], "pair int, k int, i int")
+    listed = found.select("k", F.posexplode(F.array(*[f"auc{i}" for i in columns])).alias("i", "auc"))
+    return rows.join(listed, ["k", "i"], "left").select("pair", "auc")
+
+
+def roc_auc(df: DataFrame, label: str, score: str, name: str = "auc") -> DataFrame:
+    """Exact area under the curve with ties; NULL when only one class occurs."""
+    return roc_aucs(df, [(label, score)]).select(F.col("auc").alias(name))
 
 
 def log_loss_of(label: Column, score: Column) -> Column:
@@ -50,10 +79,12 @@ def weighted_auc(
     df: DataFrame, first: tuple[str, str], second: tuple[str, str], weights=(0.7, 0.3)
 ) -> DataFrame:
     """Weighted sum of two AUCs, given as `(label, score)` pairs."""
-    a = roc_auc(df, *first).select(F.col("auc").alias("a"), F.lit(1).alias("one"))
-    b = roc_auc(df, *second).select(F.col("auc").alias("b"), F.lit(1).alias("one"))
-    score = weights[0] * F.col("a") + weights[1] * F.col("b")
-    return a.join(b, "one").select(score.alias("score"))
+    weight = F.when(F.col("pair") == 0, weights[0]).otherwise(weights[1])
+    if first == second:
+        return roc_auc(df, *first, "score").select((F.col("score") * sum(weights)).alias("score"))
+    found = roc_aucs(df, [first, second])
+    # without one of the areas there is no score
+    return found.agg(F.when(F.count("auc") == 2, F.sum(F.col("auc") * weight)).alias("score"))
 
 
 def recall_at(

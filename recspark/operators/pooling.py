@@ -60,7 +60,7 @@ def lookup(vectors: DataFrame, item: str = "id", vector: str = "vector", limit:
     return Lookup(ids[order], matrix[order])
 
 
-def _row_sums(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+def row_sums(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     """Sums by row of values whose rows are in order."""
     out = np.zeros((rows, *values.shape[1:]))
     if len(row):
@@ -69,7 +69,7 @@ def _row_sums(values: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def _batches(lists: pa.Array):
+def batches(lists: pa.Array):
     """(first row, rows, row of each position, ids) of about `POSITIONS` positions each."""
     sizes = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], np.int64)
     ends = np.cumsum(sizes)
@@ -96,7 +96,7 @@ def _softmax(scores: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     top = np.full(rows, -np.inf)
     np.maximum.at(top, row, scores)
     power = np.exp(scores - top[row])
-    return power / _row_sums(power, row, rows)[row]
+    return power / row_sums(power, row, rows)[row]
 
 
 def pooled_lists(
@@ -125,7 +125,7 @@ def pooled_lists(
         own = shared.value
         sums: list[list[np.ndarray]] = [[] for _ in fields]
         some: list[list[np.ndarray]] = [[] for _ in fields]
-        for first, count, row, found in _batches(lists):
+        for first, count, row, found in batches(lists):
             at, known = own.find(found)
             parts = [np.ones(known.sum(), bool), found[known] != 0]
             if weights is not None:
@@ -137,7 +137,7 @@ def pooled_lists(
                 if i == 2:
                     mine = mine * (_softmax(share[keep], own_rows, count) if normalize else share[keep])[:, None]
                 n = np.bincount(own_rows, minlength=count)
-                sums[i].append(_row_sums(mine, own_rows, count) / np.maximum(n, 1)[:, None])
+                sums[i].append(row_sums(mine, own_rows, count) / np.maximum(n, 1)[:, None])
                 some[i].append(n > 0)
         return pa.StructArray.from_arrays([_vectors(s, k) for s, k in zip(sums, some)], fields)
 
@@ -173,7 +173,7 @@ def attended_lists(rows: DataFrame, key: Sequence[str], ids: str, target: str, v
         wanted, asked = own.find(targets.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64))
         asked &= ~targets.is_null().to_numpy(zero_copy_only=False)
         shares, sizes, sums, some = [], [], [], []
-        for first, count, row, found in _batches(lists):
+        for first, count, row, found in batches(lists):
             at, known = own.find(found)
             known &= asked[first : first + count][row]
             row, values, found = row[known], own.matrix[at[known]], found[known]
@@ -182,7 +182,7 @@ def attended_lists(rows: DataFrame, key: Sequence[str], ids: str, target: str, v
             share = _softmax(scores, row, count)
             shares.append(share)
             sizes.append(np.bincount(row, minlength=count))
-            sums.append(_row_sums(values * share[:, None], row, count))
+            sums.append(row_sums(values * share[:, None], row, count))
             some.append(sizes[-1] > 0)
         if not sizes:
             return pa.StructArray.from_arrays([_vectors([], []), _vectors([], [])], ["weights", "vector"])
@@ -209,11 +209,11 @@ def weighted_sums(rows: DataFrame, key: Sequence[str], ids: str, weight: str, ve
     @arrow_udf("array<double>")
     def summed(lists: pa.Array, weights: pa.Array) -> pa.Array:
         own, sums, some = shared.value, [], []
-        for first, count, row, found in _batches(lists):
+        for first, count, row, found in batches(lists):
             at, known = own.find(found)
             known &= found != 0
             share = weights[first : first + count].flatten().to_numpy(zero_copy_only=False)[known]
-            sums.append(_row_sums(own.matrix[at[known]] * share[:, None], row[known], count))
+            sums.append(row_sums(own.matrix[at[known]] * share[:, None], row[known], count))
             some.append(np.bincount(row[known], minlength=count) > 0)
         return _vectors(sums, some)
 

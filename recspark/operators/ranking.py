@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     FMClassifier,
@@ -12,15 +14,19 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
 )
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import FMRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType
 
 from ..functions.arrays import sigmoid
-from ..functions.vectors import add
+from ..functions.vectors import add, as_doubles
+from . import pooling
+from .cooccurrence import gram
 from .encoding import encode, fit_dictionary
 from .keys import is_whole
 from .skew import ROWS_PER_TASK, attach, attach_side
@@ -100,6 +106,84 @@ def factor_vectors(
     return decoded(model.userFactors, user), decoded(model.itemFactors, item)
 
 
+def fold_in(
+    events: DataFrame,
+    user: str,
+    item: str,
+    rating: str,
+    items: DataFrame,
+    reg: float = 0.1,
+    alpha: float = 1.0,
+    limit: int = pooling.LOOKUP_BYTES,
+) -> DataFrame:
+    """`(user, vector)`: vectors of users, also of those who were not trained on, against fixed
+    item vectors `(item, vector)`.
+
+    Each user's normal equations of the implicit least squares are summed over its items and
+    solved: (Y'Y + sum c y y' + reg n I) x = sum (1 + c) y with c = alpha |rating|, n and the
+    right side over ratings above 0. A user of the training with the training's `reg` and `alpha` gets its
+    factor again. Users without a known item get no row; item ids are whole numbers.
+    """
+    counted = events.groupBy(user, item).agg(F.sum(rating).cast("float").cast("double").alias("_r"))
+    counted = counted.where(F.col(item).isNotNull() & (F.col("_r") != 0))
+    known = items.select(F.col(item).alias("id"), as_doubles(F.col("vector")).alias("vector"))
+    size = known.agg(F.max(F.size("vector"))).first()[0]
+    kind = events.schema[user].dataType.simpleString()
+    if not size:
+        return events.sparkSession.createDataFrame([], f"{user} {kind}, vector array<double>")
+    base = gram(known.select("vector"), None, size)
+    upper = np.triu_indices(size)
+
+    def solved(left: np.ndarray, right: np.ndarray, n: np.ndarray) -> pa.Array:
+        full = np.zeros((len(n), size, size))
+        full[:, upper[0], upper[1]] = left
+        full[:, upper[1], upper[0]] = left
+        full += base + reg * n[:, None, None] * np.eye(size)
+        x = np.linalg.solve(full, right[:, :, None])[:, :, 0]
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * size, pa.int32()), pa.array(x.ravel()))
+
+    def parts(y: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        c = alpha * np.abs(r)[:, None]
+        return c * y[:, upper[0]] * y[:, upper[1]], np.where(r[:, None] > 0, 1 + c, 0) * y
+
+    table = pooling.lookup(known, limit=limit)
+    if table is not None:
+        # a list has at most one entry per known item
+        shared = events.sparkSession.sparkContext.broadcast(table)
+        lists = counted.groupBy(user).agg(F.collect_list(F.struct(F.col(item).cast("long").alias("i"), "_r")).alias("e"))
+
+        @arrow_udf("array<double>")
+        def vectors(ids: pa.Array, ratings: pa.Array) -> pa.Array:
+            own, out = shared.value, []
+            for first, count, row, found in pooling.batches(ids):
+                at, here = own.find(found)
+                r = ratings[first : first + count].flatten().to_numpy(zero_copy_only=False)[here]
+                row, (left, right) = row[here], parts(own.matrix[at[here]], r)
+                n = np.bincount(row[r > 0], minlength=count)
+                some = pa.array(np.bincount(row, minlength=count) > 0)
+                x = solved(pooling.row_sums(left, row, count), pooling.row_sums(right, row, count), np.maximum(n, 1))
+                out.append(pc.if_else(some, x, pa.scalar(None, x.type)))
+            return pa.chunked_array(out, pa.list_(pa.float64())).combine_chunks()
+
+        found = lists.select(user, vectors("e.i", "e._r").alias("vector"))
+        return found.where("vector IS NOT NULL")
+
+    @arrow_udf("array<double>")
+    def terms(ys: pa.Array, ratings: pa.Array) -> pa.Array:
+        y, r = ys.flatten().to_numpy().reshape(-1, size), ratings.to_numpy()
+        cells = np.concatenate([*parts(y, r), (r > 0)[:, None]], axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1) * cells.shape[1], pa.int32()), pa.array(cells.ravel()))
+
+    @arrow_udf("array<double>")
+    def solution(sums: pa.Array) -> pa.Array:
+        cells = sums.flatten().to_numpy().reshape(len(sums), -1)
+        return solved(cells[:, : len(upper[0])], cells[:, len(upper[0]) : -1], np.maximum(cells[:, -1], 1))
+
+    met = attach_side(counted, known.withColumnRenamed("id", item), [item], how="inner")
+    total = vector_to_array(Summarizer.sum(array_to_vector(terms("vector", "_r"))))
+    return met.groupBy(user).agg(total.alias("s")).select(user, solution("s").alias("vector"))
+
+
 def pair_interaction(vectors: Sequence[Column]) -> Column:
     """0.5 * sum((sum v)^2 - sum v^2): all pairwise dot products in linear time."""
     total = vectors[0]

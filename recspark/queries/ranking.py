@@ -176,6 +176,17 @@ def n6_recall(spark, d):
     return scores
 
 
+# the vectors come from training; a user folded in again must get its own vector
+@query("n6_fold_in", f"""WITH {CLICKS} SELECT DISTINCT uid, 0.0::DOUBLE AS difference, 16 AS size FROM clicks""")
+def n6_fold_in(spark, d):
+    log = clicks(spark, d).select("uid", "item_id", F.lit(1).alias("w"))
+    users, items = ranking.factor_vectors(log, "uid", "item_id", "w", rank=16, rounds=2)
+    folded = ranking.fold_in(log, "uid", "item_id", "w", materialize(items, "items"))
+    both = folded.join(users.withColumnRenamed("vector", "trained"), "uid")
+    apart = F.array_max(F.zip_with("vector", "trained", lambda x, y: F.abs(x - y)))
+    return both.select("uid", F.round(apart, 3).alias("difference"), F.size("vector").alias("size"))
+
+
 @query("n7_perceptron")
 def n7(spark, d):
     rows = clicks(spark, d).select(
@@ -302,12 +313,10 @@ def _probabilities(spark, d):
     UNION ALL SELECT 'one class', NULL""",
 )
 def m1(spark, d):
-    rows = _probabilities(spark, d)
-    result = None
-    for label, name in (("finish", "finish"), ("liked", "liked"), ("always", "one class")):
-        auc = metrics.roc_auc(rows, label, "score").select(F.lit(name).alias("label"), r6("auc").alias("auc"))
-        result = auc if result is None else result.unionAll(auc)
-    return result
+    names = ("finish", "liked", "one class")
+    found = metrics.roc_aucs(_probabilities(spark, d), [("finish", "score"), ("liked", "score"), ("always", "score")])
+    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pair") + 1)
+    return found.select(label.alias("label"), r6("auc").alias("auc"))
 
 
 @query(

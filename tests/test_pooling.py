@@ -86,7 +86,7 @@ def test_slices_hold_whole_lists(monkeypatch):
     monkeypatch.setattr(pooling, "POSITIONS", 2)
     lists = pa.array([r[1] for r in LISTS], pa.list_(pa.int64()))
     seen = []
-    for first, count, row, ids in pooling._batches(lists):
+    for first, count, row, ids in pooling.batches(lists):
         for k in range(count):
             seen.append(ids[row == k].tolist())
         assert first + count == len(seen)
