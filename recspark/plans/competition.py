@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.arrays import composite_key, hour_of_day, map_keys_or_empty, map_sum
 from ..operators.cleaning import fill_from, fit_means
 from ..operators.counting import count_encode, distinct_encode, fit_counts, fit_distinct_counts
-from ..operators.scaling import fit_quantile_bins, quantile_bin
+from ..operators.encoding import encode, fit_dictionary
+from ..operators.scaling import fit_minmax, fit_quantile_bins, minmax_scale, quantile_bin
 from ..operators.skew import attach_side
 from ..operators.target import expanding_mean_train, fit_target, mean_test
+from ..storage import materialize
 
 # fixed values: the composite keys, key columns and bin counts of the competition features
 COMPOSITES = {
@@ -89,3 +91,49 @@ def with_vector(df: DataFrame, side: DataFrame, vector: str, prefix: str, size:
         for i in range(size)
     ]
     return joined.select(*[c for c in joined.columns if c != vector], *dims)
+
+
+# fixed values: the category columns besides the counts
+CATEGORIES = ["uid", "user_city", "item_id", "author_id", "item_city", "channel", "music_id", "did", "video_duration", "creat_time"]
+
+
+def category_columns() -> list[str]:
+    return [*CATEGORIES, *[f"{k}_cnt" for k in COUNT_KEYS], *DISTINCT_BINS]
+
+
+def dense_columns(target: str, titles: bool = True) -> list[str]:
+    return [*[f"{k}_{target}_mean" for k in MEAN_KEYS], *(["title_len"] if titles else [])]
+
+
+def features(
+    train: DataFrame,
+    test: DataFrame,
+    target: str,
+    order_by: list[str],
+    titles: DataFrame | None = None,
+    video: DataFrame | None = None,
+    audio: DataFrame | None = None,
+    vector_size: int = 128,
+) -> DataFrame:
+    """The whole feature table, with `is_test`: bins, counts, distinct counts, target means, side
+    tables, then codes for the category columns (missing is -1) and [0, 1] for the dense ones.
+
+    Bins, counts and codes are fitted on all rows, target means on the training rows. `video`
+    and `audio` are `(item_id, vector)` with one row per item.
+    """
+    rows = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    # read by four fits and their joins
+    rows = materialize(with_composites(time_bins(rows)), "competition-rows")
+    rows = distinct_features(count_features(rows))
+    known, new = mean_features(rows.where("NOT is_test"), rows.where("is_test"), target, order_by)
+    rows = known.unionByName(new)
+    for side, prefix in ((video, "vd"), (audio, "ad")):
+        if side is not None:
+            rows = with_vector(rows, side, "vector", prefix, vector_size)
+    if titles is not None:
+        rows = with_titles(rows, titles)
+    categories, dense = category_columns(), dense_columns(target, titles is not None)
+    filled = {c: F.coalesce(F.col(c), F.lit(-1).cast(rows.schema[c].dataType)) for c in categories}
+    rows = materialize(rows.withColumns(filled), "competition-features")
+    coded = encode(rows, fit_dictionary(rows, categories), categories)
+    return minmax_scale(coded, fit_minmax(coded, dense)).drop(*COMPOSITES)
