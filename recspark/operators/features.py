@@ -74,19 +74,20 @@ class FeatureProcessor:
         return out.select(*df.columns)
 
     def feature_spec(self) -> DataFrame:
-        """Rows `(kind, feat, feat_num, shared_with)` for the model builder."""
+        """Rows `(kind, feat, feat_num, shared_with, shared_index)` for the model builder; the
+        index is the place of a history's main column among the sparse ones."""
         spec, spark = self.spec, (self.dictionary or self.scaler).sparkSession
-        rows = [("dense", name, None, None) for name in spec.dense]
+        rows = [("dense", name, None, None, None) for name in spec.dense]
         if spec.sparse:
             sizes = self.dictionary.groupBy("feature").count().collect()  # one row per feature
             counts = {r["feature"]: r["count"] for r in sizes}
-            rows += [("sparse", name, counts[name], None) for name in spec.sparse]
+            rows += [("sparse", name, counts[name], None, None) for name in spec.sparse]
         # words and OOV have an id each, 0 is padding
-        rows += [("sequence", n, self.vocabularies[n].count() + 1, None) for n in spec.sequences]
-        rows += [("history", n, None, main) for n, main in spec.histories.items()]
-        return spark.createDataFrame(
-            rows, "kind string, feat string, feat_num long, shared_with string"
-        )
+        rows += [("sequence", n, self.vocabularies[n].count() + 1, None, None) for n in spec.sequences]
+        place = {name: i for i, name in enumerate(spec.sparse)}
+        rows += [("history", n, None, main, place[main]) for n, main in spec.histories.items()]
+        schema = "kind string, feat string, feat_num long, shared_with string, shared_index int"
+        return spark.createDataFrame(rows, schema)
 
     def save(self, path: str) -> None:
         """Write all fitted tables below `path`."""

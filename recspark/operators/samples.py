@@ -129,11 +129,14 @@ def training_samples(
     spread = used.withColumn("_j", F.explode(repeats))
     number = F.pmod(draw(F.col("place"), F.col("_j")), unseen).cast("long")
     rank = F.when(F.col("_j") >= 0, unseen_rank(F.col("seen"), number))
+    # positives go along without a rank, so histories and windows are computed once; a rank is
+    # drawn about as often as any other, so none is hot
     drawn = spread.withColumn("rank", rank).drop("seen")
-    # only the drawn rows look up an item; a rank is drawn about as often as any other
-    negative = drawn.where("_j >= 0").drop(item).join(popular.select("rank", item), "rank")
-    positive = drawn.where("_j < 0").withColumn("label", F.lit(1))
-    return positive.select(*shape).unionAll(negative.withColumn("label", F.lit(0)).select(*shape))
+    listed = popular.select("rank", F.col(item).alias("_drawn"), F.lit(0).alias("n"))
+    met = attach(drawn, listed, ["rank"], rows_per_task=rows_per_task)
+    label = (F.col("_j") < 0).cast("int")
+    chosen = F.when(F.col("_j") < 0, F.col(item)).otherwise(F.col("_drawn"))
+    return met.withColumns({item: chosen, "label": label}).select(*shape)
 
 
 def fit_profile(

@@ -108,6 +108,24 @@ def n4(spark, d):
     )
 
 
+@query(
+    "n3_fm_pooled_history",
+    f"""WITH {VECTORS}, {PADDED}, m AS (SELECT event_id, list(x ORDER BY i) AS e FROM (SELECT event_id, i, avg(e[i]) AS x FROM
+      (SELECT event_id, id, e, unnest(range(1, 65)) AS i FROM cells JOIN v ON v.vec_id = id WHERE id <> 0) GROUP BY 1, 2) GROUP BY 1),
+    s AS (SELECT c.event_id, list_dot_product(u.e, t.e) + list_dot_product(u.e, m.e) + list_dot_product(t.e, m.e) AS pair
+      FROM clicks c JOIN v u ON u.vec_id = uid JOIN v t ON t.vec_id = 100 + item_id JOIN m ON m.event_id = c.event_id)
+    SELECT event_id, round(1 / (1 + exp(-(0.01 * duration - 0.5 + pair))), 6) AS score FROM clicks LEFT JOIN s USING (event_id)""",
+)
+def n3_pooled(spark, d):
+    """The history's masked mean vector is one field more; without one there is no score."""
+    rows, vectors = _padded(spark, d)
+    pooled = pooling.pooled_lists(rows, ["event_id"], "ids", vectors).select("event_id", "masked_mean")
+    log = clicks(spark, d).select("event_id", "uid", "item_id", "duration").join(pooled, "event_id")
+    linear = 0.01 * F.col("duration") - 0.5
+    scored = ranking.fm_score(log, ["uid", "item_id"], _field_table(spark, d), linear, pooled=["masked_mean"])
+    return scored.select("event_id", r6("score").alias("score"))
+
+
 @query(
     "n4_weighted_history",
     f"""WITH {VECTORS}, {PADDED}, real AS (SELECT event_id, e, exp(0.25 * pos) AS power

@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from ..operators import samples, splits
+from ..operators.features import FeatureProcessor, FeatureSpec
 from ..plans import ranking_dataset, recall
 from ..session import table
-from .base import CLICKS, clicks, joined, query
+from ..storage import materialize
+from .base import CLICKS, clicks, joined, query, r6
 from .encoding import parts
-from .sequences import BUNDLE, HISTORY, SPEC, _histories, _parts
+from .sequences import BUNDLE, EARLIER, HISTORY, SPEC, _histories, _parts, _recent
 
 ORDER = ["us", "event_id"]
 
@@ -284,3 +286,66 @@ def dataset(spark, d):
     _, _, rows = ranking_dataset.build(_parts(spark, d), SPEC)
     whole = rows[0].unionAll(rows[1]).unionAll(rows[2])
     return whole.select("p_partkey", "p_brand", joined("p_name").alias("p_name"))
+
+
+HISTORY_SPEC = FeatureSpec(
+    key="event_id",
+    dense=["us", "duration"],
+    sparse=["uid", "item_id", "item_city"],
+    histories={"history_item_ids": "item_id", "history_citys": "item_city"},
+)
+
+
+def _with_histories(spark, d):
+    last = _recent(spark, d, 5)
+    cities = F.transform("items", lambda x: x % 11)
+    lists = last.select("event_id", joined("items").alias("history_item_ids"), joined(cities).alias("history_citys"))
+    log = clicks(spark, d).select("event_id", "uid", "item_id", (F.col("item_id") % 11).alias("item_city"), "us", "duration")
+    return materialize(log.join(lists, "event_id"), "histories")
+
+
+def _coded_history(main: str, value: str) -> str:
+    return f"""(SELECT event_id, list(code ORDER BY pos) AS ids FROM
+      (SELECT event_id, {value} AS v, pos FROM cells) JOIN d_{main} USING (v) GROUP BY 1)"""
+
+
+@query(
+    "ranking_dataset_histories",
+    f"""WITH {EARLIER}, rows AS (SELECT c.event_id, c.uid, c.item_id, c.item_id % 11 AS item_city, us, duration FROM clicks c),
+    d_uid AS (SELECT uid AS v, row_number() OVER (ORDER BY uid) - 1 AS code FROM (SELECT DISTINCT uid FROM rows)),
+    d_item_id AS (SELECT item_id AS v, row_number() OVER (ORDER BY item_id) - 1 AS code FROM (SELECT DISTINCT item_id FROM rows)),
+    d_item_city AS (SELECT item_city AS v, row_number() OVER (ORDER BY item_city) - 1 AS code FROM (SELECT DISTINCT item_city FROM rows)),
+    last AS (SELECT event_id, earlier[-5:] AS kept FROM histories),
+    cells AS (SELECT event_id, unnest(kept) AS item, generate_subscripts(kept, 1) AS pos FROM last),
+    s AS (SELECT avg(us) AS m1, stddev_pop(us) AS s1, avg(duration) AS m2, stddev_pop(duration) AS s2 FROM rows)
+    SELECT CASE WHEN rows.event_id % 1000 < 640 THEN 'train' WHEN rows.event_id % 1000 < 800 THEN 'valid' ELSE 'test' END AS part,
+      rows.event_id, a.code AS uid, b.code AS item_id, c.code AS item_city, round((us - m1) / s1, 6) AS us,
+      round((duration - m2) / s2, 6) AS duration,
+      array_to_string(list_resize(coalesce(h.ids, []), 5, 0), ',') AS history_item_ids,
+      array_to_string(list_resize(coalesce(k.ids, []), 5, 0), ',') AS history_citys
+    FROM rows CROSS JOIN s JOIN d_uid a ON a.v = uid JOIN d_item_id b ON b.v = item_id JOIN d_item_city c ON c.v = item_city
+    LEFT JOIN {_coded_history('item_id', 'item')} h ON h.event_id = rows.event_id
+    LEFT JOIN {_coded_history('item_city', 'item % 11')} k ON k.event_id = rows.event_id""",
+)
+def dataset_histories(spark, d):
+    rows = _with_histories(spark, d)
+    _, _, parts_ = ranking_dataset.build(rows, HISTORY_SPEC, number=F.col("event_id") % 1000, size=1000)
+    named = ranking_dataset.named(parts_)
+    return named.select(
+        "part", "event_id", "uid", "item_id", "item_city", r6("us").alias("us"), r6("duration").alias("duration"),
+        joined("history_item_ids").alias("history_item_ids"), joined("history_citys").alias("history_citys"),
+    )
+
+
+@query(
+    "h16_history_spec",
+    f"""WITH {CLICKS} SELECT 'dense' AS kind, unnest(['us', 'duration']) AS feat, NULL::BIGINT AS feat_num, NULL AS shared_with,
+      NULL::INTEGER AS shared_index
+    UNION ALL SELECT 'sparse', 'uid', (SELECT count(DISTINCT uid) FROM clicks), NULL, NULL
+    UNION ALL SELECT 'sparse', 'item_id', (SELECT count(DISTINCT item_id) FROM clicks), NULL, NULL
+    UNION ALL SELECT 'sparse', 'item_city', (SELECT count(DISTINCT item_id % 11) FROM clicks), NULL, NULL
+    UNION ALL SELECT 'history', 'history_item_ids', NULL, 'item_id', 1
+    UNION ALL SELECT 'history', 'history_citys', NULL, 'item_city', 2""",
+)
+def h16_histories(spark, d):
+    return FeatureProcessor(HISTORY_SPEC).fit(_with_histories(spark, d)).feature_spec()

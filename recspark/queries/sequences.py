@@ -215,7 +215,7 @@ def h15(spark, d):
     UNION ALL SELECT 'sequence', 'p_name', (SELECT count(*) + 2 FROM vocabulary), NULL""",
 )
 def h16(spark, d):
-    return FeatureProcessor(SPEC).fit(_parts(spark, d)).feature_spec()
+    return FeatureProcessor(SPEC).fit(_parts(spark, d)).feature_spec().drop("shared_index")
 
 
 @query(
