@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import counting, encoding, scaling, splits, target
+from ..operators import counting, encoding, merging, scaling, splits, target
 from ..plans import competition
 from ..session import table
-from .base import CLICKS, PARTS, WIDE, bin_sql, clicks, qcut_sql, query, r6, wide
+from .base import CLICKS, ORACLES, PARTS, WIDE, bin_sql, clicks, qcut_sql, query, r6, wide
 
 
 @query(
@@ -165,6 +165,66 @@ def d1(spark, d):
     return coded.select("event_id", *[f"{k}_cnt" for k in keys])
 
 
+def _halves(df, order):
+    """Two days of a table: what is fitted on each is merged."""
+    return df.where(F.col(order) % 3 != 0), df.where(F.col(order) % 3 == 0)
+
+
+@query("d1_merged_counts", ORACLES["d1_count_encoding"])
+def d1_merged(spark, d):
+    log = clicks(spark, d).withColumn("uid_item", F.concat_ws("-", "uid", "item_id"))
+    keys = ["uid", "item_id", "uid_item"]
+    fitted = merging.merge_counts(*[counting.fit_counts(half, keys) for half in _halves(log, "event_id")])
+    coded = counting.count_encode(log.select("event_id", *keys), fitted, keys, bins=10)
+    return coded.select("event_id", *[f"{k}_cnt" for k in keys])
+
+
+@query("h1_merged_scale", ORACLES["h1_standard_scale"])
+def h1_merged(spark, d):
+    log = wide(spark, d).select("uid", "item_id", "time", "duration_time")
+    columns = ["time", "duration_time"]
+    moments = merging.merge_moments(*[merging.fit_moments(half, columns) for half in _halves(log, "time")])
+    scaled = scaling.standard_scale(log, merging.standard_of(moments))
+    return scaled.select("uid", "item_id", *[r6(c).alias(c) for c in columns])
+
+
+@query(
+    "a11_extended_dictionary",
+    f"""WITH {CLICKS}, days AS (SELECT event_id % 3 = 0 AS later, item_id AS v FROM clicks),
+    old AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT v FROM days WHERE NOT later)),
+    new AS (SELECT v, (SELECT count(*) FROM old) + row_number() OVER (ORDER BY v) - 1 AS code
+      FROM (SELECT DISTINCT v FROM days WHERE later AND v NOT IN (SELECT v FROM old))),
+    n AS (SELECT v, count(*) AS n FROM days GROUP BY 1)
+    SELECT v AS item_id, code, n FROM (SELECT * FROM old UNION ALL SELECT * FROM new) JOIN n USING (v)""",
+)
+def a11_extended(spark, d):
+    """The dictionary of two days: old codes stay, new items come behind."""
+    early, late = _halves(clicks(spark, d), "event_id")
+    merged = merging.merge_dictionary(*[encoding.fit_dictionary(half, ["item_id"]) for half in (early, late)])
+    return merged.select(F.col("number").alias("item_id"), "code", "n")
+
+
+FEW = {"uid": ["channel", "finish"], "item_id": ["channel"], "channel": ["finish", "liked"]}
+
+
+# few values per key: there a sketch is exact
+@query(
+    "d3_sketched_counts",
+    f"WITH {CLICKS} "
+    + " UNION ALL ".join(
+        f"SELECT '{k}' AS feature, CAST({k} AS VARCHAR) AS key, count(*) AS n, '{v}' AS value, count(DISTINCT {v}) AS distinct_values FROM clicks GROUP BY {k}"
+        for k, own in FEW.items()
+        for v in own
+    ),
+)
+def d3_sketched(spark, d):
+    days = _halves(clicks(spark, d), "event_id")
+    merged = merging.merge_sketches(*[counting.fit_distinct_sketches(day, FEW) for day in days])
+    counts = counting.sketched_counts(merged, FEW)
+    entries = [F.struct(F.lit(k).alias("of"), F.lit(v).alias("value"), F.col(f"{k}_{v}_nunique").alias("distinct_values")) for k, own in FEW.items() for v in own]
+    return counts.select("feature", "key", "n", F.inline(F.array(*entries))).where("feature = of").drop("of")
+
+
 PAIRS = [(k, v) for k, values in competition.DISTINCT.items() for v in values]
 
 
@@ -232,6 +292,17 @@ def d5(spark, d):
     )
 
 
+@query("d5_merged_counts", ORACLES["d5_positive_counts"])
+def d5_merged(spark, d):
+    keys = ["uid", "item_id"]
+    train, test = parts(spark, d)
+    fitted = merging.merge_target(*[target.fit_target(half, keys, "finish") for half in _halves(train, "event_id")])
+    columns = [r6(F.col(f"{k}_finish_cnt").cast("double")).alias(f"{k}_finish_cnt") for k in keys]
+    return _both(
+        target.positive_count_train(train, fitted, keys, "finish"), target.positive_count_test(test, fitted, keys, "finish"), columns
+    )
+
+
 FOLD_DRAW = "((event_id * 7919 + 918) % 1000003)"
 
 
