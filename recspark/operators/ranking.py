@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     MultilayerPerceptronClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import FMRegressor
@@ -46,18 +46,32 @@ def assembled(codes: Sequence[str], dense: Sequence[str], output: str = "feature
     return stages
 
 
-def linear_model(codes: Sequence[str], dense: Sequence[str], label: str, **params) -> Pipeline:
-    """One weight per category value and dense column, sigmoid output."""
-    return Pipeline(stages=[*assembled(codes, dense), LogisticRegression(labelCol=label, **params)])
+def hashed(columns: Sequence[str], dense: Sequence[str], width: int, output: str = "features") -> list:
+    """Stages: category columns of any type and size hashed to `width` sparse places (values that
+    share a place share a weight; NULL has none), then the dense columns, one vector.
+
+    Nothing is fitted, so no dictionary is built and the model's size is `width` whatever the ids.
+    """
+    hasher = FeatureHasher(inputCols=list(columns), categoricalCols=list(columns), numFeatures=width, outputCol="_hashed")
+    return [hasher, VectorAssembler(inputCols=["_hashed", *dense], outputCol=output)]
+
+
+def _inputs(codes: Sequence[str], dense: Sequence[str], width: int | None) -> list:
+    return hashed(codes, dense, width) if width and codes else assembled(codes, dense)
+
+
+def linear_model(codes: Sequence[str], dense: Sequence[str], label: str, width: int | None = None, **params) -> Pipeline:
+    """One weight per category value, or per hashed place with `width`, and dense column; sigmoid output."""
+    return Pipeline(stages=[*_inputs(codes, dense, width), LogisticRegression(labelCol=label, **params)])
 
 
-def fm_classifier(codes: Sequence[str], dense: Sequence[str], label: str, **params) -> Pipeline:
+def fm_classifier(codes: Sequence[str], dense: Sequence[str], label: str, width: int | None = None, **params) -> Pipeline:
     """Linear plus pairwise factor terms; trained by gradient descent on minibatches."""
-    return Pipeline(stages=[*assembled(codes, dense), FMClassifier(labelCol=label, **params)])
+    return Pipeline(stages=[*_inputs(codes, dense, width), FMClassifier(labelCol=label, **params)])
 
 
-def fm_regressor(codes: Sequence[str], dense: Sequence[str], label: str, **params) -> Pipeline:
-    return Pipeline(stages=[*assembled(codes, dense), FMRegressor(labelCol=label, **params)])
+def fm_regressor(codes: Sequence[str], dense: Sequence[str], label: str, width: int | None = None, **params) -> Pipeline:
+    return Pipeline(stages=[*_inputs(codes, dense, width), FMRegressor(labelCol=label, **params)])
 
 
 def perceptron(

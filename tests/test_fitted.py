@@ -32,6 +32,17 @@ def test_converged_linear_model_has_the_mean_of_the_label(coded):
     assert np.allclose(score, 1 / (1 + np.exp(-(duration * weights[0] + intercept))))
 
 
+def test_hashed_models_need_no_dictionary(spark):
+    rows = spark.range(200_000).select(F.concat(F.lit("u"), "id").alias("u"), (F.col("id") % 50_000).alias("m"), (F.col("id") % 3 == 0).cast("int").alias("y"), F.rand(1).alias("x"))
+    rows = rows.withColumn("u", F.when(F.col("m") % 9 > 0, F.col("u")))
+    model = ranking.linear_model(["u", "m"], ["x"], "y", width=1 << 10, maxIter=3).fit(rows)
+    assert model.stages[-1].numFeatures == (1 << 10) + 1 and len(model.stages) == 3
+    scored = model.transform(rows.limit(20).withColumn("u", F.lit("never seen")))
+    assert ranking.probability(scored).where("score BETWEEN 0 AND 1").count() == 20
+    machine = ranking.fm_classifier(["u", "m"], ["x"], "y", width=1 << 6, factorSize=2, maxIter=2).fit(rows.limit(500))
+    assert machine.stages[-1].factors.numRows == (1 << 6) + 1
+
+
 def _factorised(model, x):
     factors, linear = model.factors.toArray(), model.linear.toArray()
     pairs = ((x @ factors) ** 2 - (x**2) @ (factors**2)).sum(1) / 2
