@@ -63,24 +63,28 @@ def row_at(
     df: DataFrame,
     order: str,
     tie: str,
-    place_of: Callable[[int], int],
+    place_of: Callable[[int, int], int],
     bins: int = 1024,
     small: int = 100_000,
 ) -> tuple[int, int] | None:
     """`(order, tie)` of the row at a 0-based place; both columns are whole numbers.
 
-    `place_of` gives the place from the number of rows; below 0 there is no such row.
+    `place_of` gives the place from the number of rows with both, and of all rows; below 0
+    there is no such row.
     Each pass counts the rows in `bins` equal slices of the remaining value range and
     keeps the slice that holds the place, until few rows are left. Only the counts and
     the single row found come to the driver.
     """
     place = None
+    known = F.col(order).isNotNull() & F.col(tie).isNotNull()
     for column in (order, tie):
-        low, high, rows = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
+        own = F.when(known, F.col(column))
+        low, high, rows, total = df.agg(F.min(own), F.max(own), F.count_if(known), F.count(F.lit(1))).first()
         if place is None:
-            place = place_of(rows)
+            place = place_of(rows, total)
             if place < 0:
                 return None
+            df = df.where(known)
         while low < high and rows > small:
             step = (high - low) // bins + 1
             slices = (

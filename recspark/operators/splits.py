@@ -44,11 +44,9 @@ def ordered_split(
     Rows without order or tie stand first, and all of them are in the first part.
     """
     unplaced = F.col(order).isNull() | F.col(tie).isNull()
-    first = df.where(unplaced).count()
-    placed = df.where(~unplaced)
-    found = row_at(placed, order, tie, lambda rows: int((rows + first) * (1 - held_out)) - 1 - first)
+    found = row_at(df, order, tie, lambda placed, rows: int(rows * (1 - held_out)) - 1 - (rows - placed))
     if found is None:
-        return df.where(unplaced), placed
+        return df.where(unplaced), df.where(~unplaced)
     at, id_at = found
     early = unplaced | (F.col(order) < at) | ((F.col(order) == at) & (F.col(tie) <= id_at))
     return df.where(early), df.where(~early)

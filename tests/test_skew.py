@@ -229,7 +229,7 @@ def test_row_at(spark, small):
     rows = [(rng.choice([5, 5, 5, -40, 10**15, rng.randrange(-(10**9), 10**9)]), i) for i in range(500)]
     df = spark.createDataFrame(rows, "o long, t long").cache()
     for place in (0, 123, 250, 499):
-        assert row_at(df, "o", "t", lambda _: place, bins=8, small=small) == sorted(rows)[place]
+        assert row_at(df, "o", "t", lambda *_: place, bins=8, small=small) == sorted(rows)[place]
 
 
 def test_stratified_folds_in_blocks(spark):
