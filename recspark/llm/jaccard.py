@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -309,17 +309,20 @@ class _Links:
 
 
 def _leader_pairs(postings: DataFrame, salt: int) -> DataFrame:
-    """Each set of a list with `LEADERS` random sets of that list in other components."""
+    """Each set of a list with `LEADERS` random sets of that list in other components.
+
+    The leaders of a list stay one array, so the join gives a row per posting; only pairs that
+    sizes and places allow become rows."""
     first = [F.min_by(F.struct("x", "nx", "at", "root"), F.xxhash64("x", F.lit(salt * LEADERS + j))).alias(f"l{j}") for j in range(LEADERS)]
-    leaders = postings.groupBy("token").agg(*first).select("token", F.explode(F.array_distinct(F.array(*[f"l{j}" for j in range(LEADERS)]))).alias("l"))
-    met = postings.join(leaders, "token").where((F.col("l.x") != F.col("x")) & (F.col("l.root") != F.col("root")))
-    return _possible(met.select("x", F.col("l.x").alias("y"), "nx", F.col("l.nx").alias("ny"), "at", F.col("l.at").alias("aty")))
+    leaders = postings.groupBy("token").agg(*first).select("token", F.array_distinct(F.array(*[f"l{j}" for j in range(LEADERS)])).alias("leaders"))
 
+    def apart_and_possible(l: Column) -> Column:
+        a, b, p, q = F.col("nx"), l["nx"], F.col("at"), l["at"]
+        reach = F.least(F.least(p, q) + F.least(a - p, b - q), a, b)
+        return (l["x"] != F.col("x")) & (l["root"] != F.col("root")) & (7 * reach >= 3 * (a + b))
 
-def _possible(met: DataFrame) -> DataFrame:
-    a, b, p, q = (F.col(c) for c in ("nx", "ny", "at", "aty"))
-    reach = F.least(F.least(p, q) + F.least(a - p, b - q), a, b)
-    return met.where(7 * reach >= 3 * (a + b)).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    met = postings.join(leaders, "token").select("x", F.explode(F.filter("leaders", apart_and_possible)).alias("l"))
+    return met.select(F.least("x", "l.x").alias("x"), F.greatest("x", "l.x").alias("y")).distinct()
 
 
 _CHUNK = 512

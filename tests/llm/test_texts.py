@@ -92,6 +92,32 @@ def _component_ids(rows):
     return sets, [smallest[find(i)] for i in range(len(rows))], [find(i) for i in range(len(rows))]
 
 
+def test_leaders_meet_every_other_set(spark):
+    """A list of no more sets than leaders meets in all its pairs that lie in different
+    components and may link; longer ones in some of them, and the join makes one row a set."""
+    lists = {t: [(1000 * t + i, 20 + (7 * i) % 30, (5 * i) % 6, 1000 * t + i - i % 2) for i in range(m)] for t, m in enumerate([2, 3, 40, 300])}
+    rows = [(t, *r) for t, own in lists.items() for r in own]
+    postings = spark.createDataFrame(rows, "token long, x long, nx long, at long, root long")
+    possible = {
+        (min(x, y), max(x, y))
+        for own in lists.values()
+        for x, a, p, u in own
+        for y, b, q, v in own
+        if x != y and u != v and 7 * min(min(p, q) + min(a - p, b - q), a, b) >= 3 * (a + b)
+    }
+    for salt in (1, 2):
+        found = [tuple(r) for r in jaccard._leader_pairs(postings, salt).collect()]
+        assert len(found) == len(set(found)) and set(found) <= possible
+        # the same leaders, paired one by one
+        drawn = {}
+        for t, own in lists.items():
+            keys = [(r[0], salt * jaccard.LEADERS + j) for r in own for j in range(jaccard.LEADERS)]
+            hashed = spark.createDataFrame(keys, "x long, j int").selectExpr("x", "j", "xxhash64(x, j) as h").collect()
+            drawn[t] = {min((r.h, r.x) for r in hashed if r.j == j)[1] for j in {r.j for r in hashed}}
+        wanted = {p for p in possible if drawn[p[0] // 1000] & set(p)}
+        assert set(found) == wanted
+
+
 def test_jaccard_components(docs, rows):
     sets, ids, _ = _component_ids(rows)
     found = jaccard.link_components(docs).collect()
