@@ -211,6 +211,52 @@ def test_repeated_strings(docs, rows, shard_bytes):
     assert both(got, wanted)[0] == both(got, wanted)[1]
 
 
+def test_short_periods_give_few_stretches():
+    """One anchor per period and text is kept, and strings at the end of a run get others."""
+    run, own = "Is onhe. ", [" ".join(words(k, 90)).encode() for k in (21, 22)]
+    for period in (b"x", b"ab", run.encode(), b"seventeen letters"):
+        text = np.frombuffer(own[0] + period * (30_000 // len(period)) + own[1], np.uint8)
+        bounds = np.array([0, len(text)])
+        found = repeats.anchors(text, bounds, 400)
+        keep, again = repeats.folded(text, bounds, found, 400)
+        assert int((found[4] - found[3] + 1).sum()) == len(text) - 399  # each string has its anchor
+        assert int(keep.sum()) < 30
+        inside = np.zeros(len(text), bool)
+        for a, b in zip(found[3][again].tolist(), found[4][again].tolist()):
+            inside[a : b + 400] = True
+        assert inside.sum() > 29_000
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 1_500])
+def test_repeats_of_short_periods(spark, shard_bytes):
+    """Runs of a short period in one text only, in several, cut at other places, and once as
+    long as a string; with nothing else that repeats."""
+    length = 100
+    own = [" ".join(words(40 + k, 60)) for k in range(12)]
+    texts = [own[0] + "x" * 900 + own[1], own[2] + "Is onhe. " * 80, own[3] + "onhe. Is " * 60 + own[4]]
+    texts += [own[5] + ("x" * 100) + own[6], "ab" * 300, own[7] + "Is onhe. " * 12 + own[8], own[9] + "zy" * 120 + own[10] + "zy" * 70]
+    texts += [own[11] + "lone run " * 40, "q" * 100, "w" * 101, "é" * 90 + "x" * 99]
+    texts = [t.encode() for t in texts]
+    wanted = []
+    for i, (t, gone) in enumerate(zip(texts, _covered(texts, length))):
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        wanted.append((i, int(gone.sum()), int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum()), kept))
+    rows = [(i, t.decode()) for i, t in enumerate(texts)]
+    found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), length, shard_bytes)
+    assert sorted((r.doc_id, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()) == wanted
+
+
+def test_shards_count_all_their_bytes(spark, monkeypatch):
+    """Stretches with copies are in the shards of their anchor too, so they count."""
+    sizes = []
+    monkeypatch.setattr(repeats, "materialize", lambda df, label: sizes.append((label, df.collect())) or df)
+    rows = [(7, i, 1 if i == 0 else 2, (f"{i:04d}" * 100).encode()) for i in range(60)]
+    repeats.marked(spark.createDataFrame(rows, "anchor long, stretch long, n int, bytes binary"), 100, 2_000)
+    (_, dealt), *_ = sizes
+    held = Counter(r.shard for r in dealt)
+    assert sum(held.values()) == 60 and max(held.values()) <= 30
+
+
 def test_long_texts_come_in_pieces(monkeypatch):
     text = np.frombuffer(" ".join(words(8, 3000)).encode(), np.uint8)
     whole = repeats.anchors(text, np.array([0, len(text)]), 100)
