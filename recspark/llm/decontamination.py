@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .bytesarrays import LOWER, flat, mix, prefix_hashes, runs, slices, span_hashes, within
+from .bytesarrays import LOWER, flat, give_back, mix, prefix_hashes, runs, slices, span_hashes, within
 from .suffixes import search, suffix_order
 
 WINDOW = 10
@@ -171,7 +171,9 @@ def _find(texts: pa.Array, tests: Suffixes) -> pa.Array:
 def _finder(tests):
     @arrow_udf(f"struct<n_words:bigint,matches:{MATCH}>")
     def find(texts: pa.Array) -> pa.Array:
-        return _find(texts, tests.value)
+        found = _find(texts, tests.value)
+        give_back()
+        return found
 
     return find
 

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..storage import materialize
-from .bytesarrays import LOWER, flat, mix, prefix_hashes, runs, slices, span_hashes
+from .bytesarrays import LOWER, flat, give_back, mix, prefix_hashes, runs, slices, span_hashes
 from .components import components
 
 WORDS = 5
@@ -152,6 +152,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketches = [pa.array([sketch(grams[a:b], room) if b > a else None for a, b in spans], pa.binary()) for room in (1, 8)]
             own = [batch.column(i).slice(low, len(ids)) for i in (0, 2)]
             yield pa.RecordBatch.from_arrays([*own, pa.array(sizes), pa.array(ids), *sketches], ["doc_id", "tie", "n", "set", "sketch", "wide"])
+    give_back()
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +160,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, grams, bounds in shingle_sets(batch.column(0)):
             chosen = np.repeat(set_ids(grams, bounds) % _SAMPLE == 0, np.diff(bounds))
             yield pa.RecordBatch.from_arrays([pa.array(grams[chosen].astype(np.int64))], ["token"])
+    give_back()
 
 
 def _postings(frequent, groups: int):
@@ -196,6 +198,7 @@ def _postings(frequent, groups: int):
                 head = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else []
                 parts = [p.tobytes() for p in np.split(out, head[1:])] if len(group) else []
                 yield pa.RecordBatch.from_arrays([pa.array(group[head] if len(group) else [], pa.int64()), pa.array(parts, pa.binary())], ["group", "postings"])
+        give_back()
 
     return emit
 
@@ -244,7 +247,10 @@ def _joined(table: pa.Table) -> pa.Table:
         return _rows(postings["token"], postings["set"], None, postings["n"], None, postings["at"])
     pairs, rest = list_pairs(postings)
     found = _rows(None, pairs[:, 0], pairs[:, 1], pairs[:, 2], pairs[:, 3], np.zeros(len(pairs)))
-    return pa.concat_tables([found, _rows(rest["token"], rest["set"], None, rest["n"], None, rest["at"])])
+    found = pa.concat_tables([found, _rows(rest["token"], rest["set"], None, rest["n"], None, rest["at"])])
+    del postings, pairs, rest
+    give_back()
+    return found
 
 
 class _Links:
@@ -284,6 +290,7 @@ class _Links:
                 for _, grams, bounds in shingle_sets(batch.column(0)):
                     raw = [grams[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                     yield pa.RecordBatch.from_arrays([pa.array(set_ids(grams, bounds)), pa.array(raw, pa.binary())], ["set", "grams"])
+            give_back()
 
         rows = self.docs.select("doc_id", "text").join(ids, ids["doc_id"].eqNullSafe(self.docs["doc_id"]), "left_semi")
         grams = rows.select("text").mapInArrow(full, "set long, grams binary")
@@ -300,6 +307,7 @@ class _Links:
                     candidates = [np.frombuffer(g.as_buffer(), np.uint64) for g in batch.column(3).slice(low, high - low)]
                     linked = divide_skip(query, candidates)
                     yield pa.RecordBatch.from_arrays([pa.array(x[low:high][linked]), pa.array(y[low:high][linked])], ["u", "v"])
+            give_back()
 
         def with_grams(frame, name):
             return frame.join(grams.select(F.col("set").alias(name), F.col("grams").alias(f"g{name}")), name)

@@ -33,7 +33,8 @@ from pyspark.sql.functions import arrow_udf
 
 from ..operators.skew import is_small
 from ..storage import materialize
-from .tokens import encoder, with_end
+from .bytesarrays import give_back
+from .tokens import Encoder, with_end
 
 LIMIT = 2048
 GAP = 32  # a sequence with more padding than this is cut at powers of two
@@ -135,7 +136,7 @@ def _encoded(tokenizer: str, limit: int):
         part = TaskContext.get().partitionId()
         seen = np.zeros(limit, np.int64)  # rests of each length so far
         full = 0
-        coder = encoder(tokenizer)
+        coder = Encoder(tokenizer)  # of this task alone: the worker runs other stages next
         for batch in batches:
             docs = batch.column(0)
             for low, ids, first in coder.texts(batch.column(1)):
@@ -173,6 +174,8 @@ def _encoded(tokenizer: str, limit: int):
                     ],
                     ["doc_id", "doc_tokens", "crcs", "rest_ids", "rest_crc", "rest", "part", "local", "whole"],
                 )
+        del coder
+        give_back()
 
     return encode
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .bytesarrays import flat, prefix_hashes, runs, slices, span_hashes
+from .bytesarrays import flat, give_back, prefix_hashes, runs, slices, span_hashes
 
 BUCKET_BITS = 17
 DIMENSIONS = 8
@@ -175,6 +175,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 3000, max_entries: i
                     bounds.append(end)
         bags = [(ids[a:b], shares[a:b]) for a, b in zip(bounds, bounds[1:])]
         model = train(bags, np.array(marks, np.int64))
+        del bags, ids, shares
+        give_back()
         columns = [pa.array([model.weights.tobytes()]), pa.array([model.bias])]
         yield pa.RecordBatch.from_arrays(columns, ["weights", "bias"])
 
@@ -196,6 +198,8 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     @arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(scores(texts, shared.value))
+        found = pa.array(scores(texts, shared.value))
+        give_back()
+        return found
 
     return docs.withColumn(name, score("text"))

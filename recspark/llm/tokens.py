@@ -2,9 +2,10 @@
 
 The tokenizer drops white space and cuts between letters and other signs, so a text is cut
 at ASCII white space and between an ASCII letter and ASCII punctuation (but the apostrophe,
-which begins contractions), and each distinct piece is encoded once per Python worker. Ids
+which begins contractions), and each distinct piece is encoded once per encoder. Ids
 are put together with array lookups. Texts holding a special token are encoded whole.
-A worker keeps at most `KEPT` pieces, so its memory is bounded.
+An encoder keeps at most `KEPT` pieces, so its memory is bounded. Workers outlive their stage, so
+a task that is followed by other stages makes its own encoder and gives its memory back.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 import itertools
 import math
 import random
+import types
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -189,6 +191,24 @@ def test_pieces_are_encoded_as_whole_texts(tokenizer, rows):
     assert found == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
 
 
+def test_packing_leaves_no_encoder_in_its_worker(monkeypatch):
+    """Workers are reused by other stages, and a tokenizer with its pieces is large."""
+    made = []
+
+    class Noted(tokens.Encoder):
+        def __init__(self, path):
+            super().__init__(path)
+            made.append(weakref.ref(self))
+
+    for module in (tokens, packing):
+        monkeypatch.setattr(module, "Encoder", Noted, raising=False)
+    monkeypatch.setattr(tokens, "_encoders", {})
+    monkeypatch.setattr(packing, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two", None])], ["doc_id", "text"])
+    assert sum(b.num_rows for b in packing._encoded(VOCABULARY, 64)(iter([batch]))) == 2
+    assert made and all(encoder() is None for encoder in made)
+
+
 def test_token_files_round_trip(tokenizer, docs, rows):
     files = token_files.write(docs, VOCABULARY, 49_408)
     read = files.payload(files.lookup(files.keys)).collect()
