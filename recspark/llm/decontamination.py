@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .bytesarrays import LOWER, flat, give_back, mix, prefix_hashes, runs, slices, span_hashes, within
+from .bytesarrays import LOWER, flat, give_back, mix, ordered_hashes, runs, slices, within
 from .suffixes import search, suffix_order
 
 WINDOW = 10
@@ -45,7 +45,7 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     first, last = runs(_WORD[lowered], starts)
     if not len(first):
         return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
-    return span_hashes(prefix_hashes(lowered), first, last), np.searchsorted(first, starts)
+    return ordered_hashes(lowered, first, last), np.searchsorted(first, starts)
 
 
 def _grams(codes: np.ndarray, size: int) -> np.ndarray:

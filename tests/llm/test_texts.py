@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from recspark.llm import decontamination, jaccard, line_runs, repeats
+from recspark.llm import bytesarrays, decontamination, jaccard, line_runs, repeats
 from recspark.llm.components import components
 from recspark.llm.suffixes import search, suffix_order
 
@@ -268,6 +268,15 @@ def test_long_texts_come_in_pieces(monkeypatch):
     assert named == {(s, p) for p, a, b in zip(whole[2].tolist(), whole[3].tolist(), whole[4].tolist()) for s in range(a, b + 1)}
 
 
+def test_words_of_long_slices_keep_no_long_tables(monkeypatch):
+    monkeypatch.setattr(bytesarrays, "_state", {})
+    text = np.frombuffer(("One two  three " * 150_000).encode(), np.uint8)
+    hashes, first = decontamination.words(text, np.array([0, len(text)]))
+    assert len(bytesarrays._state["powers"]) < len(text) and first.tolist() == [0, 450_000]
+    alone = [decontamination.words(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][0] for w in (b"one", b"two", b"three")]
+    assert (hashes.reshape(-1, 3) == np.array(alone)).all()
+
+
 def test_empty_tables(spark, empty, docs):
     items = spark.createDataFrame([], "item_id bigint, text string")
     assert line_runs.without_repeats(empty).count() == 0
