@@ -24,6 +24,10 @@ from ..storage import materialize
 BLOCK = 65_536  # vectors of one side in one cell
 SMALL_BLOCK = 1_024  # not worth splitting further
 STRIP = 64  # queries scored at a time inside a cell
+CODED_STRIP = 128  # the same for codes, whose first scores are single floats
+CODED_GROUP = 32  # items of a list of codes whose best first score stands for them
+TILE = 2_048  # items whose first scores are made at a time
+CELLS_PER_CORE = 16  # of lists of codes, so that cells of unlike size fill the cores
 MAX_LISTS = 65_536  # centroids are sent to all tasks, so their number is bounded
 _GROUP = 64  # columns whose best score stands for them
 _PLACES = 9  # scores equal to this many decimals are ties, broken by item id
@@ -109,20 +113,22 @@ def _cells(q: DataFrame, v: DataFrame, query_extra: tuple[str, ...] = (), item_e
     return grouped(q, "query", "item", query_extra), grouped(v, "item", "query", item_extra)
 
 
-def _with_block_counts(pairs: DataFrame, q: DataFrame, v: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+def _with_block_counts(
+    pairs: DataFrame, q: DataFrame, v: DataFrame, block: int, query_block: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Route the queries to the lists of `pairs`, and add the blocks of each list to both sides.
 
     Only the written pairs are counted; a query's vector meets them in the join before the
     cells. At most MAX_LISTS rows are broadcast.
     """
 
-    def blocks(side: DataFrame, name: str) -> DataFrame:
+    def blocks(side: DataFrame, name: str, block: int) -> DataFrame:
         number = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int")
         return side.groupBy("cluster").agg(number.alias(f"{name}_blocks"))
 
     # only the probed lists are read, as whole folders; there are at most MAX_LISTS of them
     v = v.join(F.broadcast(pairs.select("cluster").distinct()), "cluster", "left_semi")
-    sizes = F.broadcast(blocks(pairs, "query").join(blocks(v, "item"), "cluster"))
+    sizes = F.broadcast(blocks(pairs, "query", query_block or block).join(blocks(v, "item", block), "cluster"))
     return q.join(pairs, "query_id").join(sizes, "cluster"), v.join(sizes, "cluster")
 
 
@@ -362,24 +368,74 @@ def quantise(lists: DataFrame, codebooks: DataFrame, centroids: DataFrame | None
     return joined.select("item_id", found.alias("_c"), "cluster").select("item_id", "_c.codes", "_c.own", "cluster")
 
 
+def _least_of_each(codes: np.ndarray, k: int) -> np.ndarray:
+    """Rows, in order, without those after the k first of the same codes, which equal scores cannot place."""
+    order = np.lexsort(codes.T[::-1])
+    laid = codes[order]
+    new = np.r_[True, (laid[1:] != laid[:-1]).any(axis=1)]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(laid)), 0))
+    return np.sort(order[np.arange(len(laid)) - first < k])
+
+
+def _bounds(q: np.ndarray, words: np.ndarray, tile: np.ndarray, bounds: np.ndarray) -> None:
+    """The best product of each query with each group of words, tile by tile, so that no score leaves the cache.
+
+    Word g + i * (TILE / CODED_GROUP) of a tile is in its group g.
+    """
+    width = TILE // CODED_GROUP
+    for number, start in enumerate(range(0, len(words), TILE)):
+        scores = np.matmul(q, words[start : start + TILE].T, out=tile[: len(q)])
+        layers = scores.reshape(len(q), CODED_GROUP, width)
+        np.max(layers, axis=1, out=bounds[: len(q), number * width : (number + 1) * width])
+
+
 def _coded_cell(k: int, shared, residual: bool):
+    """A matrix product of single floats finds the few groups of items that may hold one of the
+    best; the distances of these items come from their codes."""
+
     def run(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         books = shared.value
-        items = items.sort_values("item_id")  # ties go to the least id
-        ids, own = items["item_id"].to_numpy(), items["own"].to_numpy()
-        codes = np.stack(items["item_vec"].to_numpy()).astype(np.int64) if len(items) else None
         parts = []
-        for start in range(0, len(queries) if len(items) else 0, STRIP):
-            some = queries.iloc[start : start + STRIP]
+        if len(queries) and len(items):
+            items = items.sort_values("item_id")  # ties go to the least id
+            codes = np.stack(items["item_vec"].to_numpy()).astype(np.int64)
+            kept = _least_of_each(codes, k)
+            ids, own, codes = items["item_id"].to_numpy()[kept], items["own"].to_numpy()[kept], codes[kept]
+            size = books.shape[0] * books.shape[2]
+            # the last number of a word takes off its own part; words that fill the last tile lose to all
+            words = np.zeros((-(-len(kept) // TILE) * TILE, size + 1), np.float32)
+            words[:, size] = -np.inf
+            words[: len(kept), :size] = np.concatenate([books[p][codes[:, p]] for p in range(books.shape[0])], axis=1)
+            words[: len(kept), size] = -own
+            longest = np.sqrt((words[: len(kept)].astype(np.float64) ** 2).sum(1).max())
+            tile, bounds = np.empty((CODED_STRIP, TILE), np.float32), np.empty((CODED_STRIP, len(words) // CODED_GROUP), np.float32)
+            shifts = np.arange(CODED_GROUP) * (TILE // CODED_GROUP)
+        for start in range(0, len(queries) if len(items) else 0, CODED_STRIP):
+            some = queries.iloc[start : start + CODED_STRIP]
             q = np.stack(some["query_vec"].to_numpy()).astype(np.float64)
+            norms = (q * q).sum(1)
+            _bounds(np.c_[2 * q, np.ones(len(q))].astype(np.float32), words, tile, bounds)
+            found = bounds[: len(q)]
+            at = found.shape[1] - k
+            least = np.partition(found, at, axis=1)[:, at].astype(np.float64) if at >= 0 else np.full(len(q), -np.inf)
+            # a product of so many single floats may be off by half of this, a tie by the rest
+            least -= (size + 4) * 2.0**-22 * np.sqrt(4 * norms + 1) * longest + 2 * 10.0**-_PLACES
+            row, group = np.nonzero(found >= least[:, None])
+            width = TILE // CODED_GROUP
+            column = (group // width * TILE + group % width)[:, None] + shifts
+            row, column = np.repeat(row, CODED_GROUP), column.ravel()
+            row, column = row[column < len(kept)], column[column < len(kept)]
             # products of each query's slices with all words; no list changes them
             products = np.einsum("qpw,pcw->pqc", q.reshape(len(q), books.shape[0], -1), books)
-            base = some["distance"].to_numpy() if residual else (q * q).sum(1)
-            scores = -(base[:, None] + own[None, :])
+            base = some["distance"].to_numpy() if residual else norms
+            scores = -(base[row] + own[column])
             for part, table in enumerate(products):
-                scores += 2 * table[:, codes[:, part]]
-            row, column = _best(np.minimum(scores, 0.0, out=scores), k)
-            parts.append((some["query_id"].to_numpy()[row], ids[column], -scores[row, column]))
+                scores += 2 * table[row, codes[column, part]]
+            scores = np.minimum(scores, 0.0)
+            order = np.lexsort((column, -np.round(scores, _PLACES), row))
+            row, column, scores = row[order], column[order], scores[order]
+            best = np.arange(len(row)) - np.searchsorted(row, np.arange(len(q)))[row] < k
+            parts.append((some["query_id"].to_numpy()[row[best]], ids[column[best]], -scores[best]))
         columns = ("query_id", "item_id", "score")
         if not parts:
             return pd.DataFrame({c: [] for c in columns})
@@ -404,12 +460,16 @@ def quantised_topk(
 
     A distance falls into the query's to the centroid (known from probing), the item's own part
     and products of the query's slices with words, which are the same for all its lists. So
-    neither queries nor words are shifted for each list of residual codes.
+    neither queries nor words are shifted for each list of residual codes. Scored pairs grow with
+    queries x items x probes / lists.
     """
     pairs = probe(queries, query_id, query_vec, centroids, probes)
     shared = queries.sparkSession.sparkContext.broadcast(_books(codebooks))
     q = _side(queries, "query", query_id, query_vec)
-    q, v = _with_block_counts(pairs, q, coded.withColumnRenamed("codes", "item_vec"), block)
+    # codes are short, so a list may be repeated for more blocks of queries; the pairs are written
+    share = pairs.count() // (CELLS_PER_CORE * queries.sparkSession.sparkContext.defaultParallelism)
+    some = min(block, max(SMALL_BLOCK, share))
+    q, v = _with_block_counts(pairs, q, coded.withColumnRenamed("codes", "item_vec"), block, some)
     left, right = _cells(q, v, ("distance",), ("own",))
     scored = left.cogroup(right).applyInPandas(_coded_cell(k, shared, residual), _out_schema(q, v))
     return _ranked(scored, k, ascending=True)
