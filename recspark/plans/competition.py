@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..operators.cleaning import fill_from, fit_means
 from ..operators.counting import count_encode, distinct_encode, fit_counts, fit_distinct_counts
 from ..operators.encoding import encode, fit_dictionary
 from ..operators.scaling import fit_minmax, fit_quantile_bins, minmax_scale, quantile_bin
-from ..operators.skew import attach_side
+from ..operators.skew import attach, attach_side, key_profile
 from ..operators.target import expanding_mean_train, fit_target, mean_test
 from ..storage import materialize
 
@@ -61,12 +63,17 @@ def distinct_features(df: DataFrame) -> DataFrame:
 def mean_features(
     train: DataFrame, test: DataFrame, target: str, order_by: list[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Expanding means for the training rows, training means for the others."""
-    fitted = fit_target(train, MEAN_KEYS, target)
-    return (
-        expanding_mean_train(train, fitted, MEAN_KEYS, target, order_by),
-        mean_test(test, fitted, MEAN_KEYS, target),
-    )
+    """Expanding means for the training rows, training means for the others.
+
+    A composite key that the rows lack is there for its own mean only, so no other shuffle carries it.
+    """
+    fitted = fit_target(with_composites(train), MEAN_KEYS, target)
+    for key in MEAN_KEYS:
+        made = {key: composite_key(*map(F.col, COMPOSITES[key]))} if key in COMPOSITES else {}
+        made = {} if key in train.columns else made
+        train = expanding_mean_train(train.withColumns(made), fitted, [key], target, order_by).drop(*made)
+        test = mean_test(test.withColumns(made), fitted, [key], target).drop(*made)
+    return train, test
 
 
 def with_titles(df: DataFrame, titles: DataFrame) -> DataFrame:
@@ -123,17 +130,43 @@ def features(
     """
     rows = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
     # read by four fits and their joins
-    rows = materialize(with_composites(time_bins(rows)), "competition-rows")
-    rows = distinct_features(count_features(rows))
+    rows = materialize(time_bins(rows), "competition-rows")
+    rows = distinct_features(count_features(with_composites(rows)).drop(*COMPOSITES))
     known, new = mean_features(rows.where("NOT is_test"), rows.where("is_test"), target, order_by)
     rows = known.unionByName(new)
-    for side, prefix in ((video, "vd"), (audio, "ad")):
-        if side is not None:
-            rows = with_vector(rows, side, "vector", prefix, vector_size)
-    if titles is not None:
-        rows = with_titles(rows, titles)
     categories, dense = category_columns(), dense_columns(target, titles is not None)
     filled = {c: F.coalesce(F.col(c), F.lit(-1).cast(rows.schema[c].dataType)) for c in categories}
-    rows = materialize(rows.withColumns(filled), "competition-features")
+    item, missing = F.col("item_id"), F.col("item_id").isNull()
+    # the codes replace the item, so the side tables' key is kept beside them
+    rows = rows.withColumns({"_item": F.coalesce(item, F.lit(0).cast(rows.schema["item_id"].dataType)), "_none": missing, **filled})
+    rows = materialize(rows, "competition-features")
+    sides = item_sides(rows, titles, video, audio, vector_size)
     coded = encode(rows, fit_dictionary(rows, categories), categories)
-    return minmax_scale(coded, fit_minmax(coded, dense)).drop(*COMPOSITES)
+    own = minmax_of(rows, sides, dense)
+    # last, as a row is never shuffled with its vectors
+    whole = attach(coded, sides, ["_item", "_none"]).drop("_item", "_none")
+    return minmax_scale(whole, own)
+
+
+def item_sides(
+    rows: DataFrame, titles: DataFrame | None, video: DataFrame | None, audio: DataFrame | None, vector_size: int
+) -> DataFrame:
+    """`(_item, _none, n, ..)`: the side columns of each item of the rows, with `n` its rows.
+
+    Side tables are joined to the items, not to the rows; `_none` is the item of rows without one.
+    """
+    items = key_profile(rows, ["_item", "_none"])
+    items = items.withColumn("item_id", F.when(~F.col("_none"), F.col("_item")))
+    for side, prefix in ((video, "vd"), (audio, "ad")):
+        if side is not None:
+            items = with_vector(items, side, "vector", prefix, vector_size)
+    if titles is not None:
+        items = with_titles(items, titles)
+    return materialize(items.drop("item_id"), "competition-items")
+
+
+def minmax_of(rows: DataFrame, sides: DataFrame, dense: Sequence[str]) -> DataFrame:
+    """`fit_minmax` of the rows with their side columns, without joining them: each item has rows."""
+    of_items = [c for c in dense if c in sides.columns]
+    fitted = fit_minmax(rows, [c for c in dense if c not in of_items])
+    return fitted.unionByName(fit_minmax(sides, of_items)) if of_items else fitted
