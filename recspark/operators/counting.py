@@ -61,32 +61,48 @@ def fit_distinct_counts(df: DataFrame, pairs: dict[str, Sequence[str]]) -> DataF
     """`(feature, number, key, n, <key>_<value>_nunique..)` for all key columns, from one scan.
 
     Repeats of (key, value) are removed on both sides of a shuffle on that pair, so a hot
-    key is spread by its values before its distinct values are counted.
+    key is spread by its values before its distinct values are counted. Two columns that count
+    each other share these pairs, and the counts are moved as one narrow row per key and task.
     """
     names = [(k, v, f"{k}_{v}_nunique") for k, values in pairs.items() for v in values]
     # each pair of a key column has all rows of the key, so the first one counts them
     counting = [i for i, (k, v, _) in enumerate(names) if v == pairs[k][0]]
     whole = all(is_whole(df, c) for k, v, _ in names for c in (k, v))
     kind = "long" if whole else "string"
+    # the columns of each group of pairs, and which way each pair reads them
+    ways: dict[tuple[str, str], list[tuple[int, bool]]] = {}
+    for i, (k, v, _) in enumerate(names):
+        ways.setdefault((v, k) if (v, k) in ways else (k, v), []).append((i, (v, k) in ways))
     entries = [
         F.struct(
-            F.lit(i).alias("pair"),
-            F.col(f"`{k}`").cast(kind).alias("item"),
-            F.col(f"`{v}`").cast(kind).alias("value"),
+            F.lit(group).alias("group"),
+            F.col(f"`{k}`").cast(kind).alias("a"),
+            F.col(f"`{v}`").cast(kind).alias("b"),
         )
-        for i, (k, v, _) in enumerate(names)
+        for group, (k, v) in enumerate(ways)
     ]
+    both = [group for group, read in enumerate(ways.values()) if any(turned for _, turned in read)]
+    used = F.col("a").isNotNull() | (F.col("group").isin(both) & F.col("b").isNotNull())
     distinct = (
         df.select(F.inline(F.array(*entries)))
-        .where(F.col("item").isNotNull())
-        .groupBy("pair", "item", "value")
+        .where(used)
+        .groupBy("group", "a", "b")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+    read = [F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(turned).alias("turned")) for i, turned in own]) for own in ways.values()]
+    laid = distinct.select("a", "b", "rows", F.inline(F.get(F.array(*read), F.col("group"))))
+    item, value = [F.when(F.col("turned"), F.col(x)).otherwise(F.col(y)) for x, y in (("b", "a"), ("a", "b"))]
+    found = (
+        laid.select("pair", "rows", item.alias("item"), value.alias("value"))
+        .where(F.col("item").isNotNull())
+        .groupBy("pair", "item")
+        .agg(F.sum("rows").alias("rows"), F.count("value").alias("values"))
+    )
     feature = F.element_at(F.array(*[F.lit(k) for k, _, _ in names]), F.col("pair") + 1)
-    counted = distinct.groupBy(feature.alias("feature"), "item").agg(
+    counted = found.groupBy(feature.alias("feature"), "item").agg(
         F.sum(F.when(F.col("pair").isin(counting), F.col("rows"))).alias("n"),
         *[
-            F.count(F.when(F.col("pair") == i, F.col("value"))).alias(name)
+            F.sum(F.when(F.col("pair") == i, F.col("values")).otherwise(0)).alias(name)
             for i, (_, _, name) in enumerate(names)
         ],
     )

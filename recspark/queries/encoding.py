@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import counting, encoding, merging, scaling, splits, target
 from ..plans import competition
 from ..session import table
+from ..storage import materialize
 from .base import CLICKS, ORACLES, PARTS, WIDE, bin_sql, clicks, qcut_sql, query, r6, wide
 
 
@@ -256,7 +257,9 @@ PAIRS = [(k, v) for k, values in competition.DISTINCT.items() for v in values]
     + " ".join(f"JOIN b{i} ON wide.{k} = b{i}.k" for i, (k, v) in enumerate(PAIRS)),
 )
 def d3(spark, d):
-    features = competition.distinct_features(wide(spark, d))
+    # read by the fit and its joins, so the tables are joined once
+    columns = list(dict.fromkeys(c for pair in PAIRS for c in pair))
+    features = competition.distinct_features(materialize(wide(spark, d).select(*columns), "wide"))
     return features.select("uid", "item_id", "author_id", *[f"{k}_{v}_nunique" for k, v in PAIRS])
 
 
